@@ -4,16 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, secret_scan, warc
+from tidemark.llm import bpe, chat, packing, pii, secret_scan, warc
 from tidemark.llm.shared import table
 
 #: The conversation added to ``conversations``: both of its texts look like control strings.
 TRICKY = r"\### Assistant: </turn> ok"
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
 
@@ -33,6 +47,9 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op6_pii": op6_pii,
+    "op7_packing": op7_packing,
     "op8_secret_scan": op8_secret_scan,
     "op9_chat_format": op9_chat_format,
     "op10_warc_archive": op10_warc_archive,
