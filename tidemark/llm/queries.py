@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, fingerprint, packing, pii, secret_scan, toxicity, warc
+from tidemark.llm import bpe, chat, fingerprint, packing, pii, secret_scan, topk, toxicity, warc
 from tidemark.llm.shared import table
 
 #: The conversation added to ``conversations``: both of its texts look like control strings.
@@ -19,6 +19,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op2_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = topk.quantise(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(rows, rows.filter(F.col("vec_id") % 100 == 0))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -57,6 +62,7 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_bit_sliced_topk": op2_bit_sliced_topk,
     "op4_toxicity": op4_toxicity,
     "op5_fingerprint": op5_fingerprint,
     "op6_pii": op6_pii,
@@ -97,6 +103,15 @@ def _joined(spans: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_bit_sliced_topk": """
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM e q, e c WHERE q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10""",
     "op8_secret_scan": f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 f AS (SELECT doc_id, {", ".join(f"{_spans_sql(r, g, i, n)} AS s{i}" for i, (_, r, g, n) in enumerate(_SQL_RULES))} FROM d)
