@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, fingerprint, packing, pii, secret_scan, topk, toxicity, warc
+from tidemark.llm import bpe, chat, fingerprint, neardup, packing, pii, secret_scan, topk, toxicity, warc
 from tidemark.llm.shared import table
 
 #: The conversation added to ``conversations``: both of its texts look like control strings.
@@ -24,6 +24,10 @@ def op2_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.filter(F.col("vec_id") % 100 == 0))
 
 
+def op3_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -63,6 +67,7 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_bit_sliced_topk": op2_bit_sliced_topk,
+    "op3_bag_minhash": op3_bag_minhash,
     "op4_toxicity": op4_toxicity,
     "op5_fingerprint": op5_fingerprint,
     "op6_pii": op6_pii,
