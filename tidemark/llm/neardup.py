@@ -7,9 +7,10 @@ process whose rate is its length, and a point counts if its place in the interva
 hash, lies under the shingle's weight.  Equal components estimate weighted Jaccard without bias.
 Signatures are banded, candidates verified on the multisets, and links joined to classes.
 
-No pair list of a bucket is made: its rows are compared with one hub each.  Buckets that still hold more
-than one class afterwards have the rows outside their largest class compared with all others, so every
-pair that shares a band and might join two classes is verified.  A pair at the threshold shares no band
+No pair list of a bucket is made: its rows are compared with a hub, and the hub's links joined to classes.
+Buckets that still hold several classes are cut into blocks of bounded size; each pair of blocks meets in
+one task, which multiplies their element matrices and returns only links between different classes.  So
+every pair that shares a band and might join two classes is verified.  A pair at the threshold shares no band
 with probability (1 - 0.8 ** 5) ** 32, 3e-6.
 
 Defined results: texts without words (null, empty, blank) link to nothing; rows of one doc_id are one
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import cut
@@ -31,6 +32,11 @@ from tidemark.llm.shared import cut
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, BAND_ROWS = 32, 5
+#: Rows of a block of a bucket whose rows are compared across classes.
+BLOCK = 256
+#: Elements that are multiplied at once there.
+ELEMENTS = 16_384
+
 
 _U = np.uint64
 _M1, _M2, _STEP = _U(0xFF51AFD7ED558CCD), _U(0xC4CEB9FE1A85EC53), _U(0x9E3779B97F4A7C15)
@@ -213,30 +219,70 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
+def _rank() -> Column:
+    """An order of nodes for choosing a bucket's hub; one of four, by the bucket."""
+    return F.xxhash64("node", F.pmod("key", F.lit(4)))
+
+
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by products of blocks of the sets' membership matrix."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, at, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = seen[at] > 1
+    owner, at = owner[common], (np.cumsum(seen > 1) - 1)[at[common]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    out = np.zeros((len(sets), len(sets)), np.float64)
+    for low in range(0, int(at[-1]) + 1 if len(at) else 0, ELEMENTS):
+        a, b = np.searchsorted(at, [low, low + ELEMENTS])
+        part = np.zeros((len(sets), min(ELEMENTS, int(at[-1]) + 1 - low)), np.float32)
+        part[owner[a:b], at[a:b] - low] = 1
+        out += part @ part.T
+    return out
+
+
+def _across(rows: DataFrame, labels: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between different classes of ``labels`` within the buckets of ``rows`` (key, node)."""
+    placed = rows.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    buckets = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("members"))
+    # Of buckets with the same members one is enough.
+    buckets = buckets.filter("low <> high").groupBy("members", "n").agg(F.min("key").alias("key"))
+    buckets = buckets.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    spot = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
+    held = cut(placed.join(buckets, "key").select("key", "node", "label", spot.alias("spot"), "blocks"), "mixed")
+    held = held.join(texts.dropDuplicates(["node"]), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    held = held.select("key", F.least("spot", "other").alias("lo"), F.greatest("spot", "other").alias("hi"), "spot", "node", "label", "elements")
+
+    def meet(t: pa.Table) -> pa.Table:
+        node, label, spot = (t[c].to_numpy() for c in ("node", "label", "spot"))
+        sets = [np.frombuffer(x, _U) for x in t["elements"].to_pylist()]
+        size = np.array([len(x) for x in sets], float)
+        common = _overlaps(sets)
+        good = common >= least * (size[:, None] + size[None, :] - common)
+        good &= label[:, None] != label[None, :]
+        if t["lo"][0] != t["hi"][0]:
+            good &= spot[:, None] != spot[None, :]
+        x, y = np.nonzero(np.triu(good, 1))
+        return pa.table({"a": np.maximum(node[x], node[y]), "b": np.minimum(node[x], node[y])})
+
+    return held.groupBy("key", "lo", "hi").applyInArrow(meet, "a long, b long").distinct()
+
+
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id) for each row of ``docs``: the smallest doc_id of its near-duplicate class."""
     signed = cut(_signed(docs), "signed")
     known = signed.filter(F.col("doc_id").isNotNull() & F.col("h1").isNotNull())
     nodes = known.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands"))
     rows = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last").select("key", "hub")
-    shared = cut(rows.join(hubs, "key").distinct(), "shared")
+    hubs = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.min_by("node", _rank()).alias("hub")).filter("first <> last")
+    shared = cut(rows.join(hubs.select("key", "hub"), "key").distinct(), "shared")
 
-    pairs = cut(shared.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
+    pairs = cut(shared.filter("node <> hub").select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct(), "pairs")
     texts = cut(_elements_of(docs, shared.select("node").distinct()), "elements")
     links = cut(_verified(pairs, texts, least), "links")
     labels = components(links)
 
-    # Buckets that still hold several classes: rows outside the largest one meet the others.
-    placed = shared.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    sizes = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
-    most = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("kinds")).filter("kinds > 1")
-    placed = cut(placed.join(most.select("key", F.col("most.label").alias("major")), "key"), "mixed")
-    minor = placed.filter("label <> major").select("key", F.col("node").alias("a"), F.col("label").alias("a_label"))
-    others = placed.select("key", F.col("node").alias("b"), "label")
-    rest = minor.join(others, "key").filter("a_label <> label").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    rest = rest.join(pairs, ["a", "b"], "left_anti")
-    late = cut(_verified(rest, texts, least), "late")
+    late = cut(_across(shared.select("key", "node"), labels, texts, least), "late")
     if not late.isEmpty():
         labels = components(links.union(late))
 
