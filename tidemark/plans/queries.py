@@ -266,8 +266,20 @@ def price_rules(spark, sf):
     )
 
 
+def _shown(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query with decimals as doubles, timestamps as milliseconds and dates as text, which any client can compare."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        df = query(spark, sf)
+        kinds = {"decimal": lambda c: F.col(c).cast("double"), "timestamp": lambda c: F.unix_millis(c), "date": lambda c: F.col(c).cast("string")}
+        return df.select(*[kinds[k.split("(")[0]](c).alias(c) if k.split("(")[0] in kinds else F.col(c) for c, k in df.dtypes])
+
+    run.__name__ = query.__name__
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+    f.__name__: _shown(f)
     for f in (
         cdc_parse, cdc_quarantine_reasons, bronze_counts_by_op, bronze_duplicate_offsets, bronze_batch_counts, bronze_health, latest_per_key, latest_live_only,
         soft_deleted_keys, merge_two_batches, scd2_history, scd2_incremental_two_batches, scd2_noops, scd2_violations, scd2_summary, pit_join_sales, fct_sales,
@@ -375,3 +387,26 @@ SELECT p_partkey, greatest(round((grown / 100)::DECIMAL(18,4), 2), 1)::DECIMAL(1
   greatest(1, p_size // 6)::INTEGER AS cases, greatest(0, least(p_size, p_partkey % 40 - 5))::BIGINT AS allocated,
   CASE WHEN tier = 0 THEN 'silver' WHEN tier = 2 THEN 'silver' WHEN up THEN 'gold' ELSE 'bronze' END AS tier FROM q""",
 }
+
+
+def _replaced(name: str, columns: str, kind: str) -> None:
+    """Gives a statement's columns the form that ``_shown`` gives them."""
+    form = {"decimal": "{c}::DOUBLE", "timestamp": "(epoch_us({c}) // 1000)", "date": "{c}::VARCHAR"}[kind]
+    ORACLE_SQL[name] = f"SELECT * REPLACE ({', '.join(f'{form.format(c=c)} AS {c}' for c in columns.split())}) FROM ({ORACLE_SQL[name]})"
+
+
+for _name, _columns, _kind in (
+    ("scd2_history", "valid_from valid_to", "timestamp"),
+    ("scd2_incremental_two_batches", "valid_from valid_to", "timestamp"),
+    ("price_history", "valid_from valid_to", "timestamp"),
+    ("price_history", "price previous_price", "decimal"),
+    ("pit_join_sales", "price_then quantity", "decimal"),
+    ("fct_sales", "quantity amount", "decimal"),
+    ("daily_sales_region_brand", "quantity amount", "decimal"),
+    ("order_value", "order_value", "decimal"),
+    ("fct_sales", "date", "date"),
+    ("daily_sales_region_brand", "date", "date"),
+    ("dim_date", "date", "date"),
+    ("price_rules", "changed_price changed_limit case_price", "decimal"),
+):
+    _replaced(_name, _columns, _kind)
