@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import json_field, typed
@@ -24,28 +24,21 @@ def latest_per_key(events: DataFrame, spec: TableSpec) -> DataFrame:
     """One row per key: position and deletion of its newest event, values of its newest live one.
 
     ``has_values`` is false where only deletes are known; then the newest delete's values stand in.
-    ``live_lsn`` is the LSN that the values come from.  One shuffle by key; live and dead rows are
-    ranked in the same sort, so the newest of each is all that is kept.
+    ``live_lsn`` is the LSN that the values come from.  Greatest rows are aggregates, so each input task
+    sends one row a key however often a key occurs, and ties of position resolve by the values alike in
+    every run.
     """
-    order = [F.desc("source_lsn"), F.desc("kafka_offset")]
-    by_key = Window.partitionBy(*spec.keys)
-    ranked = events.withColumns(
-        {
-            "_newest": F.row_number().over(by_key.orderBy(*order)),
-            "_live": F.row_number().over(by_key.orderBy(F.asc("is_deleted"), *order)),
-        }
-    ).filter("_newest = 1 or _live = 1")
-    newest = lambda c: F.max(F.when(F.col("_newest") == 1, F.col(c)))
-    values = lambda c: F.max(F.when(F.col("_live") == 1, F.col(c)))
     rest = [c for c in spec.column_names if c not in spec.keys]
-    return ranked.groupBy(*spec.keys).agg(
-        *[values(c).alias(c) for c in rest],
-        newest("source_lsn").alias("source_lsn"),
-        newest("source_ts_ms").alias("source_ts_ms"),
-        newest("is_deleted").alias("is_deleted"),
-        (~F.max(F.when(F.col("_live") == 1, F.col("is_deleted")))).alias("has_values"),
-        F.max(F.when((F.col("_live") == 1) & ~F.col("is_deleted"), F.col("source_lsn"))).alias("live_lsn"),
-    ).select(*spec.column_names, "source_lsn", "source_ts_ms", "is_deleted", "has_values", "live_lsn")
+    row = F.struct("source_lsn", "kafka_offset", "is_deleted", "source_ts_ms", *rest)
+    best = events.groupBy(*spec.keys).agg(F.max(row).alias("_newest"), F.max(F.when(~F.col("is_deleted"), row)).alias("_live"))
+    has_values = F.col("_live").isNotNull()
+    value = {c: F.when(has_values, F.col(f"_live.{c}")).otherwise(F.col(f"_newest.{c}")).alias(c) for c in rest}
+    return best.select(
+        *[value.get(c, F.col(c)) for c in spec.column_names],
+        *[F.col(f"_newest.{c}").alias(c) for c in ("source_lsn", "source_ts_ms", "is_deleted")],
+        has_values.alias("has_values"),
+        F.col("_live.source_lsn").alias("live_lsn"),
+    )
 
 
 def apply_latest(target: DataFrame, latest: DataFrame, spec: TableSpec) -> DataFrame:

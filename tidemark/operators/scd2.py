@@ -18,9 +18,12 @@ BROADCAST_KEYS = 100_000
 
 
 def _ordered(events: DataFrame, spec: DimensionSpec) -> DataFrame:
-    """Events with their hash, one per (key, LSN): that of the greatest offset."""
+    """Events with their hash, one per (key, LSN): that of the greatest offset.
+
+    Dealt by key alone, which serves this window, the chain's windows and the joins by key after it.
+    """
     newest = Window.partitionBy(spec.key, "source_lsn").orderBy(F.desc("kafka_offset"))
-    once = events.withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
+    once = events.repartition(spec.key).withColumn("_n", F.row_number().over(newest)).filter("_n = 1").drop("_n")
     return once.withColumn("row_hash", row_hash(spec.tracked))
 
 

@@ -40,7 +40,7 @@ def change_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf: str) -> DataFrame:
-    """The log as broker records, every fifth group of ten with a fault of each kind."""
+    """The log as broker records: the first of every fifty have a fault of each kind, the tenth repeats an offset."""
     log = change_log(spark, sf)
     n = F.col("kafka_offset") % 50
     lsn = F.when(n == 5, "abc").when(n == 4, F.lit(None)).otherwise(F.col("source_lsn").cast("string"))
@@ -61,7 +61,7 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
         value.cast("binary").alias("value"),
         F.when(n == 2, "fmcg.public.Bad-Name").otherwise("fmcg.public.users").alias("topic"),
         F.lit(0).alias("partition"),
-        F.when(n == 7, F.col("kafka_offset") - 1).otherwise(F.col("kafka_offset")).alias("offset"),
+        F.when(n == 9, F.col("kafka_offset") - 1).otherwise(F.col("kafka_offset")).alias("offset"),
         F.lit("2026-10-04 09:00:00").cast("timestamp").alias("timestamp"),
     )
 
@@ -211,7 +211,7 @@ def reconcile_missing_extra_differs(spark, sf):
 
 
 def semi_join_batch_keys(spark, sf):
-    batch = change_log(spark, sf).filter("source_lsn <= 100")
+    batch = change_log(spark, sf).filter("op = 'r'")
     return scd2.stored_of_batch(latest_live_only(spark, sf), batch, "user_id")
 
 
@@ -297,7 +297,7 @@ _REASON = """CASE WHEN kafka_offset % 50 = 0 THEN 'null value (tombstone)' WHEN
   WHEN kafka_offset % 50 IN (4, 5) THEN 'missing __source_lsn' WHEN kafka_offset % 50 = 6 THEN 'missing __source_ts_ms' END"""
 _PARSED = f"""{_LOG}, parsed AS (
   SELECT *, {_REASON} AS reason, CASE WHEN kafka_offset % 50 = 2 THEN 'Bad-Name' ELSE 'users' END AS tab,
-    CASE WHEN kafka_offset % 50 = 7 THEN kafka_offset - 1 ELSE kafka_offset END AS pos FROM log)"""
+    CASE WHEN kafka_offset % 50 = 9 THEN kafka_offset - 1 ELSE kafka_offset END AS pos FROM log)"""
 
 
 def _latest(log: str) -> str:
@@ -368,7 +368,7 @@ FROM (SELECT unnest(generate_series(min(o_orderdate)::DATE::TIMESTAMP, max(o_ord
     "reconcile_missing_extra_differs": f"""WITH {_LOG}, a AS (SELECT * FROM ({_latest(_EARLY)}) WHERE NOT is_deleted), b AS (SELECT * FROM ({_latest(_LATE)}) WHERE NOT is_deleted)
 SELECT coalesce(a.user_id, b.user_id) AS user_id, CASE WHEN b.user_id IS NULL THEN 'missing' WHEN a.user_id IS NULL THEN 'extra' ELSE 'differs' END AS status
 FROM a FULL JOIN b ON a.user_id = b.user_id WHERE a.user_id IS NULL OR b.user_id IS NULL OR (a.event_type, a.hundreds) IS DISTINCT FROM (b.event_type, b.hundreds)""",
-    "semi_join_batch_keys": f"WITH {_LOG}, l AS ({_latest('log')}) SELECT user_id, event_type, hundreds FROM l WHERE NOT is_deleted AND user_id IN (SELECT user_id FROM log WHERE source_lsn <= 100)",
+    "semi_join_batch_keys": f"WITH {_LOG}, l AS ({_latest('log')}) SELECT user_id, event_type, hundreds FROM l WHERE NOT is_deleted AND user_id IN (SELECT user_id FROM log WHERE op = 'r')",
     "topn_oldest_open": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O' ORDER BY o_orderdate, o_orderkey LIMIT 50",
     "distinct_keys": "SELECT DISTINCT user_id FROM events",
     "union_chain": f"WITH {_LOG} SELECT user_id, source_lsn, CASE op WHEN 'r' THEN 'snapshot' WHEN 'd' THEN 'delete' ELSE 'change' END AS kind FROM log",
