@@ -1,4 +1,4 @@
-"""Command line: python -m tidemark.tools bronze_check|scd2_check|reconcile|reset_tables|spark_sql|smoke_test ...
+"""Command line: python -m tidemark.tools bronze_check|scd2_check|reconcile|reset_tables|spark_sql|smoke_test|seed|scenario ...
 
 Exit 0 when a check passes, 1 when it fails, 2 for wrong usage.
 """
@@ -12,11 +12,22 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import bronze, facts, reconcile, scd2
 from tidemark.session import build_session
+from tidemark.sources.workload import Workload
 from tidemark.specs import DIMENSIONS, FACTS
 from tidemark.streaming.jobs import dimension_tables, fact_table, read_bronze
 
 
+def list_tables(spark: SparkSession, root: str) -> list[str]:
+    """Names of the tables under a folder, in order; quarantine and hidden folders are none."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.listStatus(where) if fs.exists(where) else []
+    return sorted(f.getPath().getName() for f in found if f.isDirectory() and f.getPath().getName()[0] not in "_.")
+
+
 def bronze_check(spark: SparkSession, root: str, *tables: str) -> int:
+    """Rows per op and repeated offsets of the named tables, by default of all under ``root``."""
+    tables = tables or tuple(list_tables(spark, root))
     if not tables:
         print("no tables")
         return 1
@@ -69,7 +80,20 @@ def smoke_test(spark: SparkSession) -> int:
     return int((row["n"], row["s"]) != (10, 385))
 
 
-COMMANDS = {"bronze_check": bronze_check, "scd2_check": scd2_check, "reconcile": reconcile_table, "reset_tables": reset_tables, "spark_sql": spark_sql, "smoke_test": smoke_test}
+def seed(spark: SparkSession, out: str) -> int:
+    """Snapshot records of every source table, appended to a folder that the record stream reads."""
+    w = Workload(spark)
+    for name in (*FACTS, *DIMENSIONS):
+        w.snapshot(name).write.mode("append").parquet(out)
+    return 0
+
+
+def scenario(spark: SparkSession, out: str, name: str) -> int:
+    Workload(spark).scenario(name).write.mode("append").parquet(out)
+    return 0
+
+
+COMMANDS = {"seed": seed, "scenario": scenario, "bronze_check": bronze_check, "scd2_check": scd2_check, "reconcile": reconcile_table, "reset_tables": reset_tables, "spark_sql": spark_sql, "smoke_test": smoke_test}
 
 
 def main(args: list[str]) -> int:
