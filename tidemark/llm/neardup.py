@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import cut
+from tidemark.llm.shared import cut, map_arrow
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -160,7 +160,7 @@ def _signed(docs: DataFrame) -> DataFrame:
                     keys.append(None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "h1", "h2", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, h1 long, h2 long, bands array<long>")
+    return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, h1 long, h2 long, bands array<long>")
 
 
 def _elements_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -172,7 +172,7 @@ def _elements_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.large_binary()).cast(pa.binary())], names=["node", "elements"])
 
     wanted = docs.select(F.col("doc_id").alias("node"), "text").join(nodes, "node", "left_semi")
-    return wanted.mapInArrow(run, "node long, elements binary")
+    return map_arrow(wanted, run, "node long, elements binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -186,7 +186,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("elements").alias("ea")), "a")
     both = both.join(texts.select(F.col("node").alias("b"), F.col("elements").alias("eb")), "b")
-    return both.select("a", "b", "ea", "eb").mapInArrow(run, "a long, b long")
+    return map_arrow(both.select("a", "b", "ea", "eb"), run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:

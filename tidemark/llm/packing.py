@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from tidemark.llm.bpe import Cache, Merges, batched
+from tidemark.llm.shared import map_arrow
 
 CAPACITY = 4096
 GROUP_TOKENS = 1 << 21
@@ -187,4 +188,4 @@ def pack_documents(docs: DataFrame, path: str, group_tokens: int = GROUP_TOKENS)
         if held:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return map_arrow(docs.select("doc_id", "text"), run, SCHEMA)

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import map_arrow
+
 KINDS = ("email", "ip", "card", "phone")
 
 _LEFT = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -209,7 +211,7 @@ def fit(docs: DataFrame, least: float = 0.5) -> PiiModel:
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["pattern", "n"])
 
-    counted = docs.select("text").mapInArrow(count, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    counted = map_arrow(docs.select("text"), count, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     rows = sorted((r["pattern"], r["n"]) for r in counted.collect())
     probability: dict[str, float] = {}
     reliability: dict[str, list[float]] = {}
@@ -249,7 +251,7 @@ def find(docs: DataFrame, model: PiiModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(digests, pa.string()), pa.array(lists, pa.string())], names=["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"])
 
     schema = f"doc_id long, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_arrow(docs.select("doc_id", "text"), run, schema)
 
 
 def mask(text: str, found: list[Span]) -> str:
@@ -281,4 +283,4 @@ def redact(docs: DataFrame, model: PiiModel) -> DataFrame:
             made = {"text": pa.array(new, pa.string()), "n_chars": pa.array([None if t is None else len(t) for t in new], pa.int64())}
             yield pa.RecordBatch.from_arrays([made.get(n, batch.column(n)) for n in batch.schema.names], names=batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +46,18 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow`` with batches of about ``BATCH_BYTES`` at most (a single longer row is a batch of its own).
+
+    What a task holds of its rows in the JVM and in Python is then bounded however long the texts are.
+    Spark has this limit for a session only: it is lowered there, never raised.
+    """
+    now = df.sparkSession._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
+    if not 0 < now <= BATCH_BYTES:
+        df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def text_or_empty(name: str = "text"):
     """The text column with null taken as the empty text."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import map_arrow
+
 SAMPLE = 4_000
 SAMPLE_CHARS = 20_000
 BUCKET_BITS = 20
@@ -170,7 +172,7 @@ def score(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) -> D
             got = _scores(batch.column(2).to_pylist(), shared.value, buckets)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got), pa.array((got >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
-    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return map_arrow(docs.select("doc_id", held_out().alias("held_out"), "text"), run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_clean(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) -> DataFrame:
@@ -182,4 +184,4 @@ def keep_clean(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD)
         for batch in batches:
             yield batch.filter(pa.array(_scores(batch.column("text").to_pylist(), shared.value, buckets) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
