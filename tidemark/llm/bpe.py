@@ -153,8 +153,8 @@ class Merges:
 class Cache:
     """A bounded mapping in two generations: what is still in use outlives a change of generation."""
 
-    def __init__(self, make: Callable[[list[str]], list[bytes]]):
-        self.make, self.known, self.old = make, {}, {}
+    def __init__(self, make: Callable[[list[str]], list[bytes]], entries: int = CACHE_ENTRIES):
+        self.make, self.entries, self.known, self.old = make, entries, {}, {}
 
     def fill(self, keys: set[str]) -> None:
         """Makes all of ``keys`` known."""
@@ -166,7 +166,7 @@ class Cache:
         known.update(zip(lacking, self.make(lacking), strict=True))
 
     def trim(self) -> None:
-        if len(self.known) > CACHE_ENTRIES:
+        if len(self.known) > self.entries:
             self.known, self.old = {}, self.known
 
 

@@ -27,6 +27,8 @@ from tidemark.llm.shared import map_arrow
 
 CAPACITY = 4096
 GROUP_TOKENS = 1 << 21
+#: Entries of a worker's cache between batches, and characters encoded at once: two workers share an executor with the JVM.
+CACHE_ENTRIES, BATCH_CHARS = 200_000, 1_000_000
 #: Cost of a token, and of a pair of tokens of one piece.
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 #: The id that ends a document.
@@ -105,8 +107,8 @@ class WordEncoder:
         self.inner = np.array([vocab[chars[b]] for b in range(256)], np.int64)
         self.last = np.array([vocab[chars[b] + suffix] for b in range(256)], np.int64)
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
-        self.words = Cache(self._encode)
-        self.pieces = Cache(self._split)
+        self.words = Cache(self._encode, CACHE_ENTRIES)
+        self.pieces = Cache(self._split, CACHE_ENTRIES)
 
     def _encode(self, words: list[str]) -> list[bytes]:
         raw = [w.encode() for w in words]
@@ -179,7 +181,7 @@ def pack_documents(docs: DataFrame, path: str, group_tokens: int = GROUP_TOKENS)
 
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for lo, hi in batched(texts):
+            for lo, hi in batched(texts, BATCH_CHARS):
                 for doc, got in zip(ids[lo:hi], words.encode_batch(texts[lo:hi]), strict=True):
                     held.append((doc, got + end))
                     tokens += len(got) // 4 + 1
