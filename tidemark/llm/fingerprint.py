@@ -3,8 +3,8 @@
 Each paragraph (line) hashes to a wide vector; a document's fingerprint is the sum of its paragraphs'
 vectors modulo powers of two, so it does not depend on their order, and a paragraph is inserted or
 deleted by adding or subtracting its vector.  A vector has two parts: ``WIDE`` lanes of 64 bits, uniform
-hashes that decide equality, and ``SIGNS`` lanes of 32 bits, each the sum of signs of the paragraph's
-sampled character windows, whose inner products estimate how much two multisets of windows share.
+hashes that decide equality, and ``SIGNS`` lanes of 32 bits, each the sum of signs of all of the
+paragraph's character windows, whose inner products estimate how much two multisets of windows share.
 
 Defined results: a null text is the empty text, one empty paragraph; rows with a null doc_id come last in
 the order; rows of one doc_id are ordered by a hash of their text; repeated rows stay, each the next of
@@ -23,8 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WIDE, SIGNS = 8, 128
-#: Code points in a window; one window in 2 ** SAMPLE_BITS, chosen by its hash, counts.
-WINDOW, SAMPLE_BITS = 16, 2
+#: Code points in a window; all windows count.
+WINDOW = 16
+#: Windows whose signs are held at a time.
+CHUNK = 255 * 32
 #: Rows that a partition of the ordered pass holds about.
 PART_ROWS = 20_000
 
@@ -56,14 +58,16 @@ def _sign_sums(hashes: np.ndarray) -> np.ndarray:
     """Per lane, the number of set bits less that of clear ones over all hashes, modulo 2 ** 32."""
     if not len(hashes):
         return np.zeros(SIGNS, np.uint32)
-    words = np.empty((len(hashes), SIGNS // 64), np.uint64)
-    for k in range(SIGNS // 64):
-        x = (hashes ^ (hashes >> np.uint64(31))) * _MIX[k]
-        words[:, k] = x ^ (x >> np.uint64(33))
-    bits = np.unpackbits(words.view(np.uint8), axis=1)
     ones = np.zeros(SIGNS, np.int64)
-    for at in range(0, len(bits), 255):
-        ones += bits[at : at + 255].sum(axis=0, dtype=np.uint8)
+    for start in range(0, len(hashes), CHUNK):
+        part = hashes[start : start + CHUNK]
+        words = np.empty((len(part), SIGNS // 64), np.uint64)
+        for k in range(SIGNS // 64):
+            x = (part ^ (part >> np.uint64(31))) * _MIX[k]
+            words[:, k] = x ^ (x >> np.uint64(33))
+        bits = np.unpackbits(words.view(np.uint8), axis=1)
+        for at in range(0, len(bits), 255):
+            ones += bits[at : at + 255].sum(axis=0, dtype=np.uint8)
     return (2 * ones - len(hashes)).astype(np.uint32)
 
 
@@ -83,11 +87,9 @@ def fingerprint(text: str) -> Fingerprint:
             h = h[:-step] * np.uint64(pow(_BASE, step, 1 << 64)) + h[step:]
             step *= 2
         h = (h ^ (h >> np.uint64(29))) * _MIX[2]
-        take = np.flatnonzero(h >> np.uint64(64 - SAMPLE_BITS) == 0)
-        breaks = np.flatnonzero(code == 10)
-        if len(breaks):
-            take = take[np.searchsorted(breaks, take) == np.searchsorted(breaks, take + WINDOW)]
-        hashes = np.concatenate([hashes, h[take]])
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(code == 10)])
+        h = h[ends[WINDOW:] == ends[:-WINDOW]]
+        hashes = np.concatenate([hashes, h])
     return Fingerprint(wide, _sign_sums(hashes))
 
 
