@@ -5,8 +5,12 @@ import random
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from tests.llm.test_llm import docs
-from tidemark.llm import fingerprint
+from tidemark.llm import fingerprint, toxicity
+
+SF = "/root/testdata/sf0.1"
 
 
 def windows(text):
@@ -38,3 +42,34 @@ def test_near_edited_of_short_and_repetitive_texts(spark):
         wrong = np.abs([got[i] - x for i, x in enumerate(true)])
         # Inner products weigh repeated windows by the product of their counts: 2/3 where the overlap is 1/2.
         assert wrong.max() < 0.35 and wrong.mean() < (0.09 if name == "short" else 0.2), name
+
+
+def test_long_clean_texts_stay(spark):
+    d, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(d, labels)
+    held = d.join(labels.select("doc_id", "toxic"), "doc_id").filter(toxicity.held_out()).select("doc_id", "lang", "text", "toxic").collect()
+    by_lang = collections.defaultdict(list)
+    for r in sorted(held, key=lambda r: r["doc_id"]):
+        if r["toxic"] == 0:
+            by_lang[r["lang"]].append(r["text"] or "")
+    rng = random.Random(0)
+    many = [x for x in by_lang.values() if len(x) >= 30]
+    joined = ["\n".join(rng.sample(rng.choice(many), 30)) for _ in range(20)]
+    long = [t for x in by_lang.values() for t in x if len(t) > 10_000]
+    assert toxicity.keep_clean(docs(spark, list(enumerate(joined))), model).count() >= 19
+    assert toxicity.keep_clean(docs(spark, list(enumerate(long))), model).count() >= len(long) - 1
+    # A toxic text in the midst of six clean ones stays found (0.78 of them; an even mean over the length would lose most).
+    found = [r["doc_id"] for r in toxicity.score(d, model).filter("predicted = 1").collect()]
+    bad = [r["text"] for r in held if r["toxic"] == 1 and r["doc_id"] in set(found)]
+    hidden = ["\n".join([*rng.sample(many[0], 3), t, *rng.sample(many[0], 3)]) for t in bad]
+    assert toxicity.score(docs(spark, list(enumerate(hidden))), model).agg(F.avg("predicted")).first()[0] > 0.7
+
+
+def test_sample_is_filled_after_the_length_bound(spark, monkeypatch):
+    rows = [(i, "word " * (2 if i % 3 else 5000)) for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    taken = {}
+    monkeypatch.setattr(toxicity, "SAMPLE", 40)
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, share: taken.update(toxic=int(toxic.sum()), rows=len(texts)))
+    toxicity.fit(docs(spark, rows), labels)
+    assert taken == {"toxic": 40, "rows": 80}

@@ -2,11 +2,13 @@
 
 Features are hashed n-grams of 3 to 5 code points of the lower-cased text, as presence.  From a bounded
 sample of labelled rows the log-count ratio of each bucket is taken; the buckets that tell the classes
-apart best are kept, and an L2-regularised logistic regression is fitted to presence x ratio.  Scoring is
-one narrow pass over whole texts with the model's table (a fixed size) sent to the tasks.
+apart best are kept, and an L2-regularised logistic regression is fitted to presence x ratio x a factor
+that falls with the number of buckets present.  Scoring is one narrow pass over whole texts with the
+model's table (a fixed size) sent to the tasks: a text is as toxic as its most toxic passage of at most
+``PASSAGE`` code points, so neither chance hits of a long text add up nor is one passage thinned out by it.
 
-Bounds of the training sample (nothing else is sampled): ``SAMPLE`` rows of either class, those of least
-hash of doc_id, of at most ``SAMPLE_CHARS`` code points.
+Bounds of the training sample (nothing else is sampled): of the labelled texts of at most
+``SAMPLE_CHARS`` code points, ``SAMPLE`` rows of either class, those of least hash of doc_id.
 
 Defined results: a null text is the empty text and scores as the model's intercept; repeated rows stay;
 a null label or a null doc_id in labels is no label, repeated labels count once (toxic wins); without
@@ -28,6 +30,9 @@ from tidemark.llm.shared import map_arrow
 
 SAMPLE = 4_000
 SAMPLE_CHARS = 20_000
+#: Code points of a scored passage, and the distinct buckets at which a row's values count as they are.
+PASSAGE = 2_500
+USUAL_BUCKETS = 2_500
 BUCKET_BITS = 20
 SIZES = (3, 4, 5)
 #: Buckets kept, and the rows of the sample that a kept bucket occurs in at least.
@@ -65,6 +70,18 @@ class Buckets:
         return every[self.seen[every] == order]
 
 
+def passages(text: str) -> list[str]:
+    """Equal parts of at most ``PASSAGE`` code points, each with the few before it that its first n-grams need."""
+    n = max(1, -(-len(text) // PASSAGE))
+    step = -(-len(text) // n)
+    return [text[max(0, i * step - max(SIZES) + 1) : (i + 1) * step] for i in range(n)]
+
+
+def _scale(n: int) -> float:
+    """The factor of the values of a row with ``n`` buckets: 1 at ``USUAL_BUCKETS``, 2 at most."""
+    return 2 * USUAL_BUCKETS / (n + USUAL_BUCKETS)
+
+
 @dataclass(frozen=True)
 class ToxicModel:
     """``weights``: one for each bucket, ratio and regression weight in one; ``bias``: the intercept."""
@@ -73,12 +90,12 @@ class ToxicModel:
     bias: float
 
 
-def _logistic(rows: list[np.ndarray], ratio: np.ndarray, target: np.ndarray, weight: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, float]:
-    """Newton steps by conjugate gradients; ``rows``: positions of the features present."""
+def _logistic(rows: list[np.ndarray], scale: np.ndarray, ratio: np.ndarray, target: np.ndarray, weight: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, float]:
+    """Newton steps by conjugate gradients; ``rows``: positions of the features present; ``scale``: a factor for each row."""
     flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
     sizes = np.fromiter(map(len, rows), np.int64, len(rows))
     owner = np.repeat(np.arange(len(rows)), sizes)
-    value = ratio[flat]
+    value = ratio[flat] * scale[owner]
     forward = lambda w, b: np.bincount(owner, value * w[flat], len(rows)) + b
     backward = lambda g: np.bincount(flat, value * g[owner], len(ratio))
     w, b = np.zeros(len(ratio)), 0.0
@@ -132,7 +149,8 @@ def train(texts: list[str], toxic: np.ndarray, share: float) -> ToxicModel:
     at = [x[x >= 0] for x in (place[found] for found in seen)]
     wanted = np.array([1 - share, share])
     weight = np.where(toxic, wanted[1] * rows.sum() / rows[1], wanted[0] * rows.sum() / rows[0])
-    w, b = _logistic(at, ratio, toxic.astype(float), weight)
+    scale = np.array([_scale(len(found)) for found in seen])
+    w, b = _logistic(at, scale, ratio, toxic.astype(float), weight)
     weights = np.zeros(size, np.float32)
     weights[kept] = w * ratio
     return ToxicModel(weights, float(b))
@@ -149,7 +167,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel:
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).select("doc_id", (F.col("toxic") > 0).alias("toxic"))
     total = known.agg(F.count("*").alias("n"), F.count_if("toxic").alias("t")).first()
-    ids = [r for flag in (True, False) for r in known.filter(F.col("toxic") == flag).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()]
+    short = docs.filter(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).select("doc_id")
+    usable = known.join(short, "doc_id", "left_semi")
+    ids = [r for flag in (True, False) for r in usable.filter(F.col("toxic") == flag).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()]
     chosen = F.broadcast(spark.createDataFrame([(r["doc_id"], r["toxic"]) for r in ids], "doc_id long, toxic boolean"))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")
     rows = rows.filter(F.length("text") <= SAMPLE_CHARS).dropDuplicates(["doc_id"]).collect()
@@ -158,7 +178,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel:
 
 
 def _scores(texts: list[str | None], model: ToxicModel, buckets: Buckets) -> np.ndarray:
-    z = np.array([float(model.weights[buckets.of(t or "")].sum(dtype=np.float64)) + model.bias for t in texts])
+    def of(passage: str) -> float:
+        found = buckets.of(passage)
+        return float(model.weights[found].sum(dtype=np.float64)) * _scale(len(found)) + model.bias
+
+    z = np.array([max(map(of, passages(t or ""))) for t in texts])
     return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
 
