@@ -86,6 +86,11 @@ def dimension_tables(spark: SparkSession, root: str, spec: DimensionSpec) -> tup
     return KeyedTable(spark, f"{root}/{spec.name}", ddl(spec), (spec.surrogate,)), KeyedTable(spark, f"{root}/{spec.name}_seen", f"{spec.key} {kind}, high_lsn BIGINT", (spec.key,))
 
 
+def checkpoint_of(root: str, table: str) -> str:
+    """Where a table's job keeps its checkpoint unless told otherwise; ``reset_tables`` deletes it with the table."""
+    return f"{root}/_checkpoints/{table}"
+
+
 def start(stream: DataFrame, handler, checkpoint: str, name: str, seconds: int | None = 30):
     """Starts a query; ``seconds`` None: all that is there now, then stop."""
     writer = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint).queryName(name)

@@ -14,7 +14,7 @@ from tidemark.operators import bronze, facts, reconcile, scd2
 from tidemark.session import build_session
 from tidemark.sources.workload import Workload
 from tidemark.specs import DIMENSIONS, FACTS
-from tidemark.streaming.jobs import dimension_tables, fact_table, read_bronze
+from tidemark.streaming.jobs import checkpoint_of, dimension_tables, fact_table, read_bronze
 
 
 def list_tables(spark: SparkSession, root: str) -> list[str]:
@@ -60,13 +60,28 @@ def reconcile_table(spark: SparkSession, root: str, name: str, source: str) -> i
     return int(not out.isEmpty())
 
 
+def _delete(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def reset_tables(spark: SparkSession, root: str, *names: str) -> int:
+    """Deletes tables so that their stopped jobs rebuild them: data, a dimension's high-water marks, checkpoint.
+
+    Checkpoints are those of ``jobs.checkpoint_of``; ``--checkpoints=<folder>``: ``<folder>/<table>``.
+    """
+    folders = [n.split("=", 1)[1] for n in names if n.startswith("--checkpoints=")]
+    names = tuple(n for n in names if not n.startswith("--checkpoints="))
     if not names:
-        print("usage: reset_tables <root> <table>...")
+        print("usage: reset_tables <root> [--checkpoints=<folder>] <table>...")
         return 2
+    dimensions = {spec.name: spec for spec in DIMENSIONS.values()}
     for n in names:
-        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{n}")
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        # Marks first: without the table they would filter out what is replayed.
+        marks = n in dimensions and _delete(spark, dimension_tables(spark, root, dimensions[n])[1].path)
+        data = _delete(spark, f"{root}/{n}")
+        checkpoint = _delete(spark, f"{folders[-1]}/{n}" if folders else checkpoint_of(root, n))
+        print(f"{n}: data deleted={data}; marks deleted={marks}; checkpoint deleted={checkpoint}")
     return 0
 
 
