@@ -4,11 +4,12 @@ import collections
 import random
 
 import numpy as np
+import pytest
 
 from pyspark.sql import functions as F
 
 from tests.llm.test_llm import docs
-from tidemark.llm import fingerprint, toxicity
+from tidemark.llm import fingerprint, topk, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -73,3 +74,28 @@ def test_sample_is_filled_after_the_length_bound(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "train", lambda texts, toxic, share: taken.update(toxic=int(toxic.sum()), rows=len(texts)))
     toxicity.fit(docs(spark, rows), labels)
     assert taken == {"toxic": 40, "rows": 80}
+
+
+@pytest.mark.parametrize("top", [0.6, 2.0**15, 2.0**18, 2.0**52])
+def test_topk_of_large_components(spark, top):
+    rng = np.random.default_rng(3)
+    x = rng.uniform(-top, top, (60, 8))
+    if top == 2.0**52:  # so large that a score fits only beside small queries
+        x[0] = [1 / 1024, -1 / 1024, 0, 0, 0, 0, 0, 0]
+        x[1] = [-top * 1.9, top * 0.05, 5, 5, 5, 5, 5, 5]
+        x[1:, 0] = np.where(np.arange(1, 60) % 2, x[1:, 0], x[1:, 0] * 0.4)
+    v = np.floor(x * 1024)
+    rows = topk.quantise(spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>"))
+    asked = rows.filter("vec_id = 0" if top == 2.0**52 else "vec_id % 10 = 0")
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.top_k(rows, asked, block_rows=25).collect()}
+    whole = [[int(a) for a in r] for r in v]
+    for q in {q for q, _ in got}:
+        score = sorted((-sum(a * b for a, b in zip(whole[q], whole[i], strict=True)), i) for i in range(60) if i != q)
+        assert [got[q, k] for k in range(1, 11)] == [(i, -s) for s, i in score[:10]]
+    assert len(got) == 10 * (1 if top == 2.0**52 else 6)
+
+
+def test_topk_raises_where_a_score_leaves_64_bits(spark):
+    rows = topk.quantise(spark.createDataFrame([(i, [2.0**25] * 4) for i in range(3)], "vec_id long, embedding array<double>"))
+    with pytest.raises(Exception, match="leaves 64 bits"):
+        topk.top_k(rows, rows).collect()

@@ -12,7 +12,8 @@ memory.  No broadcast and nothing collected.
 Defined results: vectors that are null or hold a null or non-finite component, or whose id is null, take
 no part; vectors of another length than a query's have no product with it; a query id that repeats is
 taken once, with the least of its vectors; candidates that repeat count each by itself, but none with the
-query's own id; values whose products might leave 64 bits raise an error; empty tables give no rows.
+query's own id; a component, or one of the k best scores of a block, that leaves 64 bits raises an error (sums are exact
+however many bits they take, so nothing else is bounded); empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -26,15 +27,15 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 4_096
 CHUNK_QUERIES = 4_096
-#: Quantised components beyond this raise an error: products of 2 ** 15 of them fit in 64 bits.
-LARGEST = 1 << 24
+#: Quantised components from this on are no 64-bit integers and raise an error.
+LARGEST = 1 << 63
 
 
 def quantise(vectors: DataFrame, scale: int = 1024, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
     """(vec_id long, v array<long>) with floor(scale * x) for each component, of the vectors that take part."""
     d = F.transform(vector, lambda x: x.cast("double"))
     fine = F.col(vector).isNotNull() & F.col(key).isNotNull() & ~F.exists(d, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    whole = F.transform(d, lambda x: F.when(F.abs(x) * scale < LARGEST, F.floor(x * scale)).otherwise(F.raise_error(F.lit("vector component too large to score in 64 bits")).cast("long")))
+    whole = F.transform(d, lambda x: F.when(F.abs(x) * scale < float(LARGEST), F.floor(x * scale)).otherwise(F.raise_error(F.lit("vector component too large for 64 bits")).cast("long")))
     return vectors.filter(fine).select(F.col(key).cast("long").alias("vec_id"), whole.alias("v"))
 
 
@@ -52,19 +53,19 @@ class BlockIndex:
         order = np.argsort(ids, kind="stable")  # so that of tied rows the first set bits are the smaller ids
         self.ids, vectors = ids[order], vectors[order]
         self.low = vectors.min(initial=0)
-        raised = (vectors - self.low).T
+        raised = (vectors - self.low).view(np.uint64).T  # the difference, though it may wrap as a signed one
         self.bits = max(1, int(raised.max(initial=0)).bit_length())
         self.top = (1 << self.bits) - 1
         self.every = _bitmaps(np.ones(len(ids), bool))
-        self.slices = np.stack([_bitmaps((raised >> b & 1).astype(bool)) for b in range(self.bits)], axis=1)
+        self.slices = np.stack([_bitmaps((raised >> np.uint64(b) & np.uint64(1)).astype(bool)) for b in range(self.bits)], axis=1)
         self.flipped = ~self.slices & self.every
 
     def score_slices(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
         """Slices of the sum, least significant first, and the constant that turns it into the score."""
-        size = np.abs(query)
+        size = np.abs(query).view(np.uint64)
         columns: dict[int, list[np.ndarray]] = {}
         for i in range(int(size.max(initial=0)).bit_length()):
-            on = size >> i & 1 == 1
+            on = size >> np.uint64(i) & np.uint64(1) == 1
             terms = np.concatenate([self.slices[on & (query > 0)], self.flipped[on & (query < 0)]])
             if len(terms):
                 for j in range(self.bits):
@@ -83,7 +84,7 @@ class BlockIndex:
                 bits = np.concatenate([half ^ c, bits[3 * third :]])
             out.append(bits[0] if len(bits) else np.zeros_like(self.every))
             at += 1
-        constant = int(query.sum()) * int(self.low) - self.top * int(size[query < 0].sum())
+        constant = sum(query.tolist()) * int(self.low) - self.top * sum(size[query < 0].tolist())
         return out, constant
 
     def best(self, key: int, query: np.ndarray, k: int) -> list[tuple[int, int]]:
@@ -108,10 +109,13 @@ class BlockIndex:
         if len(at) < k:
             more = np.flatnonzero(np.unpackbits(open_rows.view(np.uint8), bitorder="little"))
             at = np.concatenate([at, more[: k - len(at)]])
-        score = np.full(len(at), constant, np.int64)
+        score = [constant] * len(at)
         for b, one in enumerate(slices):
-            score += (one[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(np.int64) << b
-        return list(zip(self.ids[at].tolist(), score.tolist(), strict=True))
+            bit = (one[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).tolist()
+            score = [s + (x << b) for s, x in zip(score, bit, strict=True)]
+        if score and not -LARGEST <= min(score) <= max(score) < LARGEST:
+            raise OverflowError("a score leaves 64 bits")
+        return list(zip(self.ids[at].tolist(), score, strict=True))
 
 
 def _matrix(column: pa.ChunkedArray) -> list[np.ndarray]:
