@@ -2,14 +2,17 @@
 
 import collections
 import random
+import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from tests.llm.test_llm import docs
-from tidemark.llm import fingerprint, topk, toxicity
+from tests.llm.test_llm import _classes, docs
+from tidemark.llm import fingerprint, packing, pii, topk, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -99,3 +102,54 @@ def test_topk_raises_where_a_score_leaves_64_bits(spark):
     rows = topk.quantise(spark.createDataFrame([(i, [2.0**25] * 4) for i in range(3)], "vec_id long, embedding array<double>"))
     with pytest.raises(Exception, match="leaves 64 bits"):
         topk.top_k(rows, rows).collect()
+
+
+def test_pipeline_run_equals_a_chain_in_plain_python(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    words = ["tion", "er", "an", "the", "ou", "re", "nd", "th"]
+    text = lambda: " ".join("".join(rng.choices(words, k=3)) for _ in range(60))
+    rows = [(1000 + i, text() + (" idiot" if i % 4 == 0 else "")) for i in range(300)]
+    clean = [t for i, t in rows if i % 4][:40]
+    rows += [(i, t + " idiot") for i, t in enumerate(clean[:10])]  # toxic near copies with lesser ids: their clean texts stay
+    rows += [(2000 + i, t + " more") for i, t in enumerate(clean[10:20])]  # near copies with greater ids: these go
+    rows += [(3000 + i, f"{t} mail{i}@example.com") for i, t in enumerate([text() for _ in range(20)])]
+    rows += [(4000, None), (4001, ""), (4002, "<|endoftext|> is no end of this text")]
+    rows += [(r["doc_id"] + 10_000, r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    labels = [(i, 1, int(" idiot" in (t or ""))) for i, t in rows if i < 1300]
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    table = lambda x: spark.createDataFrame([(i, t, "l", "s", None if t is None else len(t)) for i, t in x], kind)
+    root = f"file://{tmp_path}/sf"
+    table(rows).write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
+
+    flags = dict((i, x) for i, _, x in labels)
+    learnt = sorted((i, t or "") for i, t in rows if i in flags and zlib.crc32(str(i).encode()) % 3 != 1)
+    model = toxicity.train([t for _, t in learnt], np.array([flags[i] for i, _ in learnt], bool), sum(flags[i] for i, _ in learnt) / len(learnt))
+    scores = toxicity._scores([t for _, t in rows], model, toxicity.Buckets())
+    left = [r for r, x in zip(rows, scores, strict=True) if x < 0.7]
+    of = _classes(left)
+    left = [(i, t) for i, t in left if of[i] == i]
+    found = pii.fit(table(left))
+    masked = {i: None if t is None else pii.clean(t, found) for i, t in left}
+    # What the stages do on the planted rows.
+    ids = set(masked)
+    assert not ids & set(range(10)) and len(ids & {i for i, t in rows if t in clean[:10]}) >= 9
+    assert not ids & set(range(2000, 2010)) and {4000, 4001, 4002} <= ids
+    assert not any("@example.com" in (masked[i] or "") for i in ids if 3000 <= i < 3020) and sum(3000 <= i < 3020 for i in ids) >= 18
+
+    hf = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    hf.encode_special_tokens = True
+    want = {i: [*hf.encode(t or "", add_special_tokens=False).ids, packing.END_ID] for i, t in masked.items()}
+    pieces = collections.defaultdict(list)
+    for p in corpus_pipeline.run(spark, root).collect():
+        pieces[p["doc_id"]].append(p)
+    assert set(pieces) == set(want)
+    for i, parts in pieces.items():
+        at = 0
+        for p in sorted(parts, key=lambda p: p["start"]):
+            assert (p["start"], p["doc_tokens"]) == (at, len(want[i]))
+            at += p["length"]
+            assert p["ids_crc32"] == zlib.crc32(np.array(want[i][p["start"] : at], "<u4").tobytes())
+        assert at == len(want[i])
