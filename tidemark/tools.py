@@ -6,12 +6,15 @@ Exit 0 when a check passes, 1 when it fails, 2 for wrong usage.
 from __future__ import annotations
 
 import sys
+import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import fresh_path
 from tidemark.operators import bronze, facts, reconcile, scd2
 from tidemark.session import build_session
+from tidemark.sources.keyed_table import KeyedTable
 from tidemark.sources.workload import Workload
 from tidemark.specs import DIMENSIONS, FACTS
 from tidemark.streaming.jobs import checkpoint_of, dimension_tables, fact_table, read_bronze
@@ -90,9 +93,22 @@ def spark_sql(spark: SparkSession, text: str) -> int:
     return 0
 
 
-def smoke_test(spark: SparkSession) -> int:
-    row = spark.range(1, 11).select((F.col("id") * F.col("id")).alias("square")).agg(F.count("*").alias("n"), F.sum("square").alias("s")).first()
-    return int((row["n"], row["s"]) != (10, 385))
+def smoke_test(spark: SparkSession, root: str | None = None) -> int:
+    """Writes a keyed table twice under ``root`` (default: the shared folder), reads it back and checks its detail and history."""
+    path = f"{root}/_smoke-{uuid.uuid4().hex}" if root else fresh_path(spark, "smoke")
+    table = KeyedTable(spark, path, "id BIGINT, square BIGINT", ("id",))
+    rows = spark.range(1, 11).select("id", (F.col("id") * F.col("id")).alias("square"))
+    try:
+        table.write(rows.filter("id <= 5"), 0)
+        table.upsert(rows.filter("id > 5"), lambda now, new: now.unionByName(new), 1)
+        again = KeyedTable(spark, path, table.schema, table.keys)
+        sums = [tuple(again.read(v).agg(F.count("*"), F.sum("square")).first()) for v in (None, 0)]
+        detail, history = again.detail(), again.history()
+    finally:
+        table.delete()
+    print(f"rows and sums={sums}; detail={detail}; history={history}")
+    first, last = {"version": 0, "batch_id": 0, "operation": "write"}, {"version": 1, "batch_id": 1, "operation": "merge"}
+    return int((sums, detail, history) != ([(10, 385), (5, 55)], last, [first, last]))
 
 
 def seed(spark: SparkSession, out: str) -> int:
