@@ -140,7 +140,6 @@ def test_pipeline_run_equals_a_chain_in_plain_python(spark, tmp_path):
     assert not any("@example.com" in (masked[i] or "") for i in ids if 3000 <= i < 3020) and sum(3000 <= i < 3020 for i in ids) >= 18
 
     hf = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    hf.encode_special_tokens = True
     want = {i: [*hf.encode(t or "", add_special_tokens=False).ids, packing.END_ID] for i, t in masked.items()}
     pieces = collections.defaultdict(list)
     for p in corpus_pipeline.run(spark, root).collect():
@@ -153,3 +152,11 @@ def test_pipeline_run_equals_a_chain_in_plain_python(spark, tmp_path):
             at += p["length"]
             assert p["ids_crc32"] == zlib.crc32(np.array(want[i][p["start"] : at], "<u4").tobytes())
         assert at == len(want[i])
+
+
+def test_packed_ids_of_texts_with_added_tokens():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["end <|endoftext|> next", "a<|startoftext|>b", "<|ENDOFTEXT|> x", "plain text", "", "<|endoftext|><|endoftext|> é日本"]
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in packing.encoder(path).encode_batch(texts)] == want
+    assert want[0] == [806, 49407, 1131]

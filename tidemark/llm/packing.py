@@ -84,7 +84,8 @@ class WordEncoder:
     """Ids of ``tokenizers`` for texts, by words: the library itself for words beyond Latin-1 print.
 
     Blanks always part tokens here, so a text's ids are those of its pieces between blanks in order.
-    Plain pieces go through the segment trees of ``bpe`` with the vocabulary's own merges.
+    Plain pieces go through the segment trees of ``bpe`` with the vocabulary's own merges.  A text that
+    holds an added token is encoded whole by the library, as its ids are not those of its pieces.
     """
 
     PLAIN = regex.compile(r"[\t\n\r!-~\xa1-\xac\xae-\xff]*")
@@ -94,6 +95,8 @@ class WordEncoder:
 
         self.hf = Tokenizer.from_file(path)
         self.hf.encode_special_tokens = True
+        self.whole = Tokenizer.from_file(path)
+        self.added = regex.compile("|".join(regex.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()) or "(?!)", regex.IGNORECASE)
         with open(path) as file:
             model = json.load(file)["model"]
         vocab, suffix = model["vocab"], model["end_of_word_suffix"]
@@ -133,11 +136,16 @@ class WordEncoder:
         return out
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
+        holding = [i for i, t in enumerate(texts) if self.added.search(t)]
         cut = [t.split(" ") for t in texts]
+        for i in holding:
+            cut[i] = []
         self.pieces.fill({p for pieces in cut for p in pieces})
         get = self.pieces.known.__getitem__
         out = [b"".join(map(get, pieces)) for pieces in cut]
         self.pieces.trim()
+        for i, e in zip(holding, self.whole.encode_batch([texts[i] for i in holding], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, "<u4").tobytes()
         return out
 
 
