@@ -11,9 +11,8 @@ import uuid
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import fresh_path
 from tidemark.operators import bronze, facts, reconcile, scd2
-from tidemark.session import build_session
+from tidemark.session import build_session, fresh_path
 from tidemark.sources.keyed_table import KeyedTable
 from tidemark.sources.workload import Workload
 from tidemark.specs import DIMENSIONS, FACTS
