@@ -12,18 +12,21 @@ task that runs again gives the same ids for the same rows.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import Cache, Merges, batched
-from tidemark.llm.shared import map_arrow
+from tidemark.llm.bpe import Merges, Words, batched, merged, utf8, whole_texts
+from tidemark.llm.shared import give_back, map_arrow
 
 CAPACITY = 4096
 GROUP_TOKENS = 1 << 21
@@ -80,75 +83,83 @@ def pack(lengths: list[int], capacity: int = CAPACITY, linear: float = LINEAR, q
     return pieces
 
 
-class WordEncoder:
-    """Ids of ``tokenizers`` for texts, by words: the library itself for words beyond Latin-1 print.
+class WordEncoder(Words):
+    """Ids of ``tokenizers`` for texts, by words: the library itself for those beyond Latin-1 print.
 
-    Blanks always part tokens here, so a text's ids are those of its pieces between blanks in order.
-    Plain pieces go through the segment trees of ``bpe`` with the vocabulary's own merges.  A text that
-    holds an added token is encoded whole by the library, as its ids are not those of its pieces.
+    Blanks always part tokens here.  Plain words go through the segment trees of ``bpe`` with the
+    vocabulary's own merges; what stands between blanks and isn't plain is one word for the library.  A
+    text that holds an added token is encoded whole by the library, as its ids are not those of its words.
     """
 
-    PLAIN = regex.compile(r"[\t\n\r!-~\xa1-\xac\xae-\xff]*")
-
     def __init__(self, path: str):
-        import json
-
+        super().__init__()
         self.hf = Tokenizer.from_file(path)
         self.hf.encode_special_tokens = True
         self.whole = Tokenizer.from_file(path)
-        self.added = regex.compile("|".join(regex.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()) or "(?!)", regex.IGNORECASE)
+        self.added = "(?i)" + "|".join(re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values())
         with open(path) as file:
             model = json.load(file)["model"]
         vocab, suffix = model["vocab"], model["end_of_word_suffix"]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        left, right, merged = (np.array([vocab[x] for x in col], np.int64) for col in zip(*[(a, b, a + b) for a, b in pairs], strict=True))
-        self.merges = Merges(left, right, np.arange(len(pairs)), merged)
+        left, right, joined = (np.array([vocab[x] for x in col], np.int64) for col in zip(*[(a, b, a + b) for a, b in pairs], strict=True))
+        self.merges = Merges(left, right, np.arange(len(pairs)), joined)
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         chars = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in set(shown))}
         self.inner = np.array([vocab[chars[b]] for b in range(256)], np.int64)
         self.last = np.array([vocab[chars[b] + suffix] for b in range(256)], np.int64)
-        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
-        self.words = Cache(self._encode)
-        self.pieces = Cache(self._split)
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        raw = [w.encode() for w in words]
-        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-        data = np.frombuffer(b"".join(raw), np.uint8)
-        flat, ends = self.inner[data], np.cumsum(sizes) - 1
-        flat[ends] = self.last[data[ends]]
-        return self.merges.encode(flat, sizes)
-
-    def _tokens(self, piece: str) -> list[str] | None:
-        if not piece.isascii() and not self.PLAIN.fullmatch(piece):
-            return None
-        low = piece.lower()
-        return [low] if low.isalpha() else self.pattern.findall(low)
-
-    def _split(self, pieces: list[str]) -> list[bytes]:
-        plain = [self._tokens(p) for p in pieces]
-        self.words.fill({w for words in plain if words is not None for w in words})
-        other = [p for p, words in zip(pieces, plain, strict=True) if words is None]
-        got = iter(self.hf.encode_batch(other, add_special_tokens=False))
-        get = self.words.known.__getitem__
-        out = [np.array(next(got).ids, "<u4").tobytes() if words is None else get(words[0]) if len(words) == 1 else b"".join(map(get, words)) for words in plain]
-        self.words.trim()
-        return out
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        holding = [i for i, t in enumerate(texts) if self.added.search(t)]
-        cut = [t.split(" ") for t in texts]
-        for i in holding:
-            cut[i] = []
-        self.pieces.fill({p for pieces in cut for p in pieces})
-        get = self.pieces.known.__getitem__
-        out = [b"".join(map(get, pieces)) for pieces in cut]
-        self.pieces.trim()
-        for i, e in zip(holding, self.whole.encode_batch([texts[i] for i in holding], add_special_tokens=False), strict=True):
-            out[i] = np.array(e.ids, "<u4").tobytes()
-        return out
-
-
+        #: By code point: plain ones (print and the blanks below), and their lower case.
+        self.plain = np.zeros(0x110000, bool)
+        self.plain[[9, 10, 13, 32, *shown]] = True
+        self.lower = np.array([ord(c) if len(c := chr(i).lower()) == 1 else i for i in range(256)], np.uint32)
+
+    def prepare(self, codes: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        odd = ~self.plain[codes]
+        low = np.where(odd, codes, self.lower[np.minimum(codes, 255)])
+        kinds = self.kinds[codes]
+        begins = lead | (kinds == 2)
+        begins[1:] |= kinds[1:] != kinds[:-1]
+        self.contractions(low, kinds, begins, lead)
+        counted = kinds != 0
+        if odd.any():
+            inside = (codes != 32) & (codes != 10) & (codes != 9) & (codes != 13)
+            opens = inside.copy()
+            opens[1:] &= ~inside[:-1] | lead[1:]
+            chunk = np.cumsum(opens) - 1
+            foreign = np.zeros(int(chunk[-1]) + 1, bool)
+            foreign[chunk[odd]] = True
+            mine = inside & foreign[np.maximum(chunk, 0)]
+            begins[mine] = opens[mine]
+            begins[1:] |= mine[:-1] & ~mine[1:]
+            low, counted = np.where(mine, codes, low), counted | mine
+        starts = np.flatnonzero(begins)
+        return low, starts, counted[starts]
+
+    def encode_words(self, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.logical_and.reduceat(self.plain[codes], np.cumsum(sizes) - sizes)
+        raw, n = utf8(codes[np.repeat(plain, sizes)], sizes[plain])
+        flat, ends = self.inner[raw], np.cumsum(n) - 1
+        flat[ends] = self.last[raw[ends]]
+        ids, counts = self.merges.encode(flat, n)
+        if plain.all():
+            return ids, counts
+        ends = np.cumsum(sizes)
+        other = [codes[b - n : b].astype("<u4").tobytes().decode("utf-32-le") for n, b in zip(sizes[~plain].tolist(), ends[~plain].tolist(), strict=True)]
+        return merged(plain, ids, counts, *_library(self.hf, other))
+
+    def encode(self, texts: pa.Array, cut_long: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        holding = pc.match_substring_regex(texts, self.added).to_numpy(zero_copy_only=False)
+        if not holding.any():
+            return super().encode(texts, cut_long)
+        ids, counts = super().encode(texts.filter(pa.array(~holding)), cut_long)
+        return merged(~holding, ids, counts, *_library(self.whole, texts.filter(pa.array(holding)).to_pylist()))
+
+
+def _library(tokenizer: Tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    found = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+
+#: Encoders of this Python worker by file; their caches are empty between tasks.
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -165,19 +176,18 @@ def pack_documents(docs: DataFrame, path: str, group_tokens: int = GROUP_TOKENS)
     sequence_id, offset.  A null text is empty and gives its end token alone; null and repeated doc_ids
     are documents of their own; an empty table gives no piece; extra columns are ignored.
     """
-    end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
-        held: list[tuple[int | None, bytes]] = []
+        held: list[tuple[int | None, np.ndarray]] = []
         tokens, next_sequence = 0, TaskContext.get().partitionId() << 36
 
         def flush() -> pa.RecordBatch:
             nonlocal held, tokens, next_sequence
-            sizes = [len(ids) // 4 for _, ids in held]
+            sizes = [len(ids) for _, ids in held]
             rows = []
             for doc, start, n, sequence, offset in pack(sizes):
-                crc = zlib.crc32(memoryview(held[doc][1])[4 * start : 4 * (start + n)])
+                crc = zlib.crc32(held[doc][1][start : start + n])
                 rows.append((held[doc][0], start, n, crc, sizes[doc], next_sequence + sequence, offset))
             next_sequence += len(capacities(tokens))
             held, tokens = [], 0
@@ -185,15 +195,24 @@ def pack_documents(docs: DataFrame, path: str, group_tokens: int = GROUP_TOKENS)
             names = [x.split()[0] for x in SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for lo, hi in batched(texts):
-                for doc, got in zip(ids[lo:hi], words.encode_batch(texts[lo:hi]), strict=True):
-                    held.append((doc, got + end))
-                    tokens += len(got) // 4 + 1
-                    if tokens >= group_tokens:
-                        yield flush()
-        if held:
-            yield flush()
+        try:
+            for batch in batches:
+                docs_of, at = batch.column(0).to_pylist(), 0
+                for texts in batched(whole_texts(batch.column(1))):
+                    ids, counts = words.encode(texts)
+                    n = len(counts)
+                    ids, _ = merged(np.arange(2 * n) % 2 == 0, ids, counts, np.full(n, END_ID), np.ones(n, np.int64))
+                    stops = np.cumsum(counts + 1).tolist()
+                    for doc, a, b in zip(docs_of[at : at + len(texts)], [0, *stops], stops, strict=False):
+                        held.append((doc, ids[a:b]))
+                        tokens += b - a
+                        if tokens >= group_tokens:
+                            yield flush()
+                    at += len(texts)
+            if held:
+                yield flush()
+        finally:
+            words.table.clear()
+            give_back()
 
     return map_arrow(docs.select("doc_id", "text"), run, SCHEMA)

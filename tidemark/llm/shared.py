@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.session import fresh_path
+
 BATCH_BYTES = 8 << 20
 
 
@@ -19,26 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only where it is unset (tests, a single machine) a temporary folder is made and set.
-    """
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = sc._jsc.sc().getCheckpointDir()
-        found = found.get() if found.isDefined() else f"file://{tempfile.mkdtemp(prefix='tidemark-')}"
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(found)
-    return found
-
-
-def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path of its own in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     """``df`` written to the shared folder and read again: a lost executor costs a re-read only."""
     path = fresh_path(df.sparkSession, label)
@@ -58,6 +39,14 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Returns free memory of this Python worker to the system, for what runs beside or after its task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def text_or_empty(name: str = "text"):
     """The text column with null taken as the empty text."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import fresh_path
+from tidemark.session import fresh_path
 
 #: Payloads shorter than this are always stored with a response record.
 REVISIT_MIN_BYTES = 100
