@@ -1,6 +1,7 @@
 """The operators do the whole job: no sampled windows, no texts lost by their length."""
 
 import collections
+import hashlib
 import random
 import zlib
 
@@ -160,3 +161,14 @@ def test_packed_ids_of_texts_with_added_tokens():
     want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(x, "<u4").tolist() for x in packing.encoder(path).encode_batch(texts)] == want
     assert want[0] == [806, 49407, 1131]
+
+
+def test_fingerprints_of_many_copies_of_one_row(spark):
+    rows = [(None, "same\nlines")] * 40 + [(7, "x y z")] * 3 + [(i, f"text {i}") for i in range(9, 15)]
+    got = [tuple(r) for r in fingerprint.fingerprint_documents(docs(spark, rows), 5).select("doc_id", "edited_sha256", "near_next").collect()]
+    order = sorted(rows, key=lambda r: -1 if r[0] is None else r[0], reverse=True)
+    want = []
+    for k, (i, t) in enumerate(order):
+        after = order[(k + 1) % len(order)][1]
+        want.append((i, hashlib.sha256(fingerprint.edited(t, after).encode()).hexdigest(), fingerprint.likeness(fingerprint.fingerprint(t), fingerprint.fingerprint(after))))
+    assert sorted(got, key=str) == sorted(want, key=str)

@@ -22,13 +22,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import give_back, map_arrow
+
 WIDE, SIGNS = 8, 128
 #: Code points in a window; all windows count.
 WINDOW = 16
 #: Windows whose signs are held at a time.
 CHUNK = 255 * 32
-#: Rows that a partition of the ordered pass holds about.
-PART_ROWS = 20_000
+#: Rows that a range of the ordered pass holds about, and the most ranges (their bounds are literals of the plan).
+PART_ROWS, PARTS = 20_000, 8_192
+#: Rows that a task returns at once.
+OUT_ROWS = 2_048
 
 _BASE = 0x9E3779B97F4A7C15
 _MIX = [np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
@@ -112,58 +116,89 @@ def _order_id() -> Column:
     return F.coalesce(F.col("doc_id"), F.lit(-(2**63)).cast("long"))
 
 
-def _part(sid: Column, bounds: list[int]) -> Column:
-    """How many bounds lie above ``sid``, by two short scans."""
-    if not bounds:
-        return F.lit(0)
-    step = max(1, int(len(bounds) ** 0.5))
-    fine, coarse = F.array(*map(F.lit, bounds)), F.array(*map(F.lit, bounds[step - 1 :: step]))
-    whole = F.size(F.filter(coarse, lambda b: b > sid)) * step
-    return whole + F.size(F.filter(F.slice(fine, whole + 1, step), lambda b: b > sid))
+def _part(heads: list[tuple[int, int]]) -> Column:
+    """The number of the last of ``heads`` (descending) that isn't below the row's (sid, tie), by halving."""
+    sids, ties = (F.array(*[F.lit(h[i]).cast("long") for h in heads]) for i in range(2))
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(heads).bit_length()))])
+
+    def step(at: Column, far: Column) -> Column:
+        sid, tie = F.get(sids, at + far), F.get(ties, at + far)
+        return F.when((at + far < len(heads)) & ((sid > F.col("sid")) | ((sid == F.col("sid")) & (tie >= F.col("tie")))), at + far).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def _dealt(docs: DataFrame, part_rows: int) -> DataFrame:
+    """doc_id, text, copies, ahead, each part in order: rows of a range of the order, then the first row of the next range.
+
+    Ranges are Spark's own over the keys alone; a range's first key is both its bound and the row that the
+    range before it needs.  Rows of one key are copies; where one has more than a range's rows, its copies
+    become one row with a count before the shuffle.
+    """
+    spark = docs.sparkSession
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumns({"sid": _order_id(), "tie": F.xxhash64(F.coalesce("text", F.lit("")))})
+    parts = min(PARTS, max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // part_rows)))
+    keys = rows.groupBy("sid", "tie").agg(F.count("*").alias("n"))
+    ranged = keys.repartitionByRange(parts, F.desc("sid"), F.desc("tie")).groupBy(F.spark_partition_id().alias("part"))
+    found = ranged.agg(F.max(F.struct("sid", "tie")).alias("head"), F.max("n").alias("n")).collect()
+    heads = sorted(((r["head"]["sid"], r["head"]["tie"]) for r in found), reverse=True) or [(0, 0)]
+    rows = rows.withColumn("copies", F.lit(1).cast("long"))
+    if max([0, *(r["n"] for r in found)]) > part_rows:
+        # At most the number of rows over part_rows keys.
+        hot = F.broadcast(spark.createDataFrame(keys.filter(F.col("n") > part_rows).select("sid", "tie").collect(), "sid long, tie long"))
+        many = rows.join(hot, ["sid", "tie"], "left_semi").groupBy("sid", "tie").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.sum("copies").alias("copies"))
+        rows = rows.join(hot, ["sid", "tie"], "left_anti").unionByName(many)
+    rows = rows.withColumn("part", _part(heads))
+    sids, ties = (F.array(*[F.lit(h[i]).cast("long") for h in heads]) for i in range(2))
+    is_head = (F.get(sids, F.col("part")) == F.col("sid")) & (F.get(ties, F.col("part")) == F.col("tie"))
+    place = lambda part, ahead: F.struct(part.cast("int").alias("part"), F.lit(ahead).alias("ahead"))
+    own, before = place(F.col("part"), 0), place((F.col("part") + (len(heads) - 1)) % len(heads), 1)
+    rows = rows.withColumn("at", F.explode(F.when(is_head, F.array(own, before)).otherwise(F.array(own))))
+    rows = rows.select("doc_id", "text", "copies", "sid", "tie", F.col("at.part").alias("part"), F.col("at.ahead").alias("ahead"))
+    return rows.repartitionById(len(heads), "part").sortWithinPartitions("ahead", F.desc("sid"), F.desc("tie")).select("doc_id", "text", "copies", "ahead")
 
 
 def fingerprint_documents(docs: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """Fingerprints of whole texts and of their edited texts, with their likeness.
 
-    The next document is the neighbour in one order over all rows: rows are dealt by ranges of doc_id
-    (bounds from quantiles), and to each range one row is added, the first of the range that follows.
-    So texts are shuffled once, and each task goes through its ranges row by row.
+    The next document is the neighbour in one order over all rows.  Texts are shuffled once, by ranges of
+    that order; each task goes through its range row by row.
     """
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("sid", _order_id())
-    total = docs.count()
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // part_rows))
-    shares = [i / parts for i in range(1, parts)]
-    found = rows.agg(F.percentile_approx("sid", F.array(*map(F.lit, shares)), F.lit(max(10_000, 20 * parts))).alias("q")).first()["q"] if shares and total else None
-    bounds = sorted(set(found or []), reverse=True)
-    keyed = rows.withColumn("part", _part(F.col("sid"), bounds)).withColumn("tie", F.xxhash64("text"))
-    heads = sorted((r["part"], *r["head"]) for r in keyed.groupBy("part").agg(F.max(F.struct("sid", "tie")).alias("head")).collect())
-    if heads:
-        before = {(sid, tie): heads[i - 1][0] for i, (_, sid, tie) in enumerate(heads)}
-        table = spark.createDataFrame([(sid, tie, part) for (sid, tie), part in before.items()], "sid long, tie long, before int")
-        ahead = keyed.drop("part").join(F.broadcast(table), ["sid", "tie"]).withColumnRenamed("before", "part")
-        keyed = keyed.withColumn("ahead", F.lit(0)).unionByName(ahead.withColumn("ahead", F.lit(1)))
-    else:
-        keyed = keyed.withColumn("ahead", F.lit(0))
-    ordered = keyed.repartition(parts, "part").sortWithinPartitions("part", "ahead", F.desc("sid"), F.desc("tie"))
+
+    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+
+    def result(doc: int | None, text: str, own: Fingerprint, after: str, of_after: Fingerprint) -> tuple:
+        new = edited(text, after)
+        other = fingerprint(new)
+        digest = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
+        return doc, len(text), digest, own.hex(), other.hex(), likeness(own, other), likeness(own, of_after)
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
+        last: tuple[bool, int | None, str, Fingerprint] | None = None
         for batch in batches:
             out: list[tuple] = []
-            for part, ahead, doc, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for doc, text, copies, ahead in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if last is not None and last[0]:  # rows like the first of the next range: one is enough
+                    break
                 own = fingerprint(text)
-                if last is not None and last[0] == part and not last[1]:
-                    _, _, before_doc, before_text, before = last
-                    new = edited(before_text, text)
-                    other = fingerprint(new)
-                    digest = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
-                    out.append((before_doc, len(before_text), digest, before.hex(), other.hex(), likeness(before, other), likeness(before, own)))
-                last = (part, ahead, doc, text, own)
+                if last is not None:
+                    out.append(result(*last[1:], text, own))
+                if copies > 1 and not ahead:
+                    same, left = result(doc, text, own, text, own), copies - 1
+                    while left:
+                        yield packed([same] * min(left, OUT_ROWS))
+                        left -= min(left, OUT_ROWS)
+                last = (bool(ahead), doc, text, own)
+                if len(out) >= OUT_ROWS:
+                    yield packed(out)
+                    out = []
             if out:
-                c = list(zip(*out, strict=True))
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(c, kinds, strict=True)], names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+                yield packed(out)
+        give_back()
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return ordered.select("part", "ahead", "doc_id", "text").mapInArrow(run, schema)
+    return map_arrow(_dealt(docs, part_rows), run, schema)
