@@ -13,9 +13,11 @@ one task, which multiplies their element matrices and returns only links between
 every pair that shares a band and might join two classes is verified.  A pair at the threshold shares no band
 with probability (1 - 0.8 ** 5) ** 32, 3e-6.
 
-Defined results: texts without words (null, empty, blank) link to nothing; rows of one doc_id are one
-document; a null doc_id is in no class (null); an empty table gives none; extra columns are ignored by
-``classes`` and kept by ``keep_one``.
+Defined results: texts without words (null, empty, blank) link to nothing, their class is their doc_id and
+``keep_one`` keeps them all; each distinct text of a repeated doc_id is a text of its own; rows without a
+doc_id come after all others, so a class of such rows alone has a null class_id, and one of its texts
+stays; repeated rows are one; an empty table gives none; extra columns are ignored by ``classes`` and
+kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -24,8 +26,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from tidemark.llm.shared import cut, map_arrow
 
@@ -36,6 +40,10 @@ BANDS, BAND_ROWS = 32, 5
 BLOCK = 256
 #: Elements that are multiplied at once there.
 ELEMENTS = 16_384
+#: Rounds of contraction; each leaves at most half of a component's nodes on average.
+ROUNDS = 99
+#: The id of rows without a doc_id, behind all others (and a doc_id of this value is taken as none).
+LAST = (1 << 63) - 1
 
 
 _U = np.uint64
@@ -141,6 +149,17 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return _mix((_mix(rows) * _PLACES[:BAND_ROWS]).sum(axis=1, dtype=_U) + np.arange(BANDS).astype(_U) * _STEP)
 
 
+def _digest(found: np.ndarray, weights: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a multiset of shingles."""
+    each = _mix(found + weights.astype(_U) * _M1)
+    return int(each.sum(dtype=_U).astype(np.int64)), int(_mix(each ^ _STEP).sum(dtype=_U).astype(np.int64))
+
+
+def _id() -> Column:
+    """The order of documents: by doc_id, those without one last."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+
+
 def _signed(docs: DataFrame) -> DataFrame:
     """doc_id, two hashes of the multiset and the band keys (null for a text without words)."""
 
@@ -149,30 +168,33 @@ def _signed(docs: DataFrame) -> DataFrame:
             first, second, keys = [], [], []
             for text in batch.column(1).to_pylist():
                 found, weights = shingles(text or "")
-                if len(found):
-                    each = _mix(found + weights.astype(_U) * _M1)
-                    first.append(int(each.sum(dtype=_U).astype(np.int64)))
-                    second.append(int(_mix(each ^ _STEP).sum(dtype=_U).astype(np.int64)))
-                    keys.append(band_keys(signature(found, weights)).astype(np.int64))
-                else:
-                    first.append(None)
-                    second.append(None)
-                    keys.append(None)
+                h1, h2 = _digest(found, weights) if len(found) else (None, None)
+                first.append(h1)
+                second.append(h2)
+                keys.append(band_keys(signature(found, weights)).astype(np.int64) if len(found) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "h1", "h2", "bands"])
 
-    return map_arrow(docs.select("doc_id", "text"), run, "doc_id long, h1 long, h2 long, bands array<long>")
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, h1 long, h2 long, bands array<long>")
 
 
 def _elements_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, elements) of the documents in ``nodes`` (node)."""
+    """(node, elements) of the texts in ``nodes`` (node, first, h1, h2): a row of each, or one a task where rows repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            blobs = [elements(*shingles(t or "")).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.large_binary()).cast(pa.binary())], names=["node", "elements"])
+            names, blobs = [], []
+            for node, h1, h2, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if node not in seen:
+                    found, weights = shingles(text or "")
+                    if len(found) and _digest(found, weights) == (h1, h2):  # else another text of the same doc_id
+                        seen.add(node)
+                        names.append(node)
+                        blobs.append(elements(found, weights).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blobs, pa.large_binary()).cast(pa.binary())], names=["node", "elements"])
 
-    wanted = docs.select(F.col("doc_id").alias("node"), "text").join(nodes, "node", "left_semi")
-    return map_arrow(wanted, run, "node long, elements binary")
+    rows = docs.select(_id().alias("first"), "text").join(nodes, "first")
+    return map_arrow(rows.select("node", "h1", "h2", "text"), run, "node long, elements binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -198,7 +220,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut(links.filter("a <> b").select("a", "b").distinct(), "edges")
     both = lambda e: e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = None
-    for turn in range(1, 100):
+    for turn in range(1, ROUNDS + 1):
         if edges.isEmpty():
             break
         rank = lambda c, t=turn: F.xxhash64(F.col(c), F.lit(t))
@@ -214,6 +236,8 @@ def components(links: DataFrame) -> DataFrame:
         at = lambda name: hooks.select(F.col("node").alias(name), F.col("hook").alias(f"{name}_hook"))
         moved = edges.join(at("a"), "a").join(at("b"), "b").select(F.least("a_hook", "b_hook").alias("a"), F.greatest("a_hook", "b_hook").alias("b"))
         edges = cut(moved.filter("a <> b").distinct(), "edges")
+    if not edges.isEmpty():
+        raise RuntimeError(f"links are left after {ROUNDS} rounds of contraction")
     if labels is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("label")).limit(0)
     return labels
@@ -268,17 +292,23 @@ def _across(rows: DataFrame, labels: DataFrame, texts: DataFrame, least: float)
     return held.groupBy("key", "lo", "hi").applyInArrow(meet, "a long, b long").distinct()
 
 
-def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id) for each row of ``docs``: the smallest doc_id of its near-duplicate class."""
+def _by_text(docs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and for each distinct multiset (h1, h2) its class: first (least id of the text's rows),
+    class_first (that of the class) and chosen (whether the text stands for its class).
+
+    Texts, not doc_ids, are the nodes that are linked, so a doc_id with several texts has several nodes.
+    """
     signed = cut(_signed(docs), "signed")
-    known = signed.filter(F.col("doc_id").isNotNull() & F.col("h1").isNotNull())
-    nodes = known.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.min_by("bands", "doc_id").alias("bands"))
+    known = signed.filter(F.col("h1").isNotNull())
+    made = known.groupBy("h1", "h2").agg(F.min(_id()).alias("first"), F.first("bands").alias("bands"))
+    nodes = cut(made.withColumn("node", F.monotonically_increasing_id()), "nodes")
     rows = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = rows.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.min_by("node", _rank()).alias("hub")).filter("first <> last")
+    hubs = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min_by("node", _rank()).alias("hub")).filter("low <> high")
     shared = cut(rows.join(hubs.select("key", "hub"), "key").distinct(), "shared")
 
     pairs = cut(shared.filter("node <> hub").select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct(), "pairs")
-    texts = cut(_elements_of(docs, shared.select("node").distinct()), "elements")
+    wanted = nodes.select("node", "first", "h1", "h2").join(shared.select("node").distinct(), "node", "left_semi")
+    texts = cut(_elements_of(docs, wanted), "elements")
     links = cut(_verified(pairs, texts, least), "links")
     labels = components(links)
 
@@ -286,15 +316,48 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     if not late.isEmpty():
         labels = components(links.union(late))
 
-    least_id = labels.groupBy("label").agg(F.min("node").alias("class_id"))
-    named = labels.join(least_id, "label").select("node", "class_id")
-    by_text = nodes.select("h1", "h2", "node").join(named, "node", "left").select("h1", "h2", F.coalesce("class_id", "node").alias("class_id"))
-    joined = signed.select("doc_id", "h1", "h2").join(by_text, ["h1", "h2"], "left")
-    return joined.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
+    plain = nodes.select("h1", "h2", "first", "node")
+    named = labels.join(plain.select("node", F.struct("first", "node").alias("place")), "node")
+    best = named.groupBy("label").agg(F.min("place").alias("best"))
+    named = named.join(best, "label").select("node", F.col("best.first").alias("class_first"), (F.col("best.node") == F.col("node")).alias("chosen"))
+    out = plain.join(named, "node", "left")
+    return signed, out.select("h1", "h2", "first", F.coalesce("class_first", "first").alias("class_first"), F.coalesce("chosen", F.lit(True)).alias("chosen"))
+
+
+def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(doc_id, class_id) for each row of ``docs``: the smallest doc_id of its near-duplicate class."""
+    signed, texts = _by_text(docs, least)
+    joined = signed.select("doc_id", "h1", "h2").join(texts.select("h1", "h2", "class_first"), ["h1", "h2"], "left")
+    found = F.when(F.col("class_first") != LAST, F.col("class_first"))
+    return joined.select("doc_id", F.when(F.col("h1").isNull(), F.col("doc_id")).otherwise(found).alias("class_id"))
 
 
 def keep_one(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each class, that of the smallest doc_id; null doc_ids all stay."""
-    first = cut(classes(docs, least).filter("doc_id = class_id").select("doc_id").distinct(), "kept")
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """``docs`` with one row of each class, that of the smallest doc_id; rows without words all stay."""
+    _, texts = _by_text(docs, least)
+    kept = cut(texts.filter("chosen").select(F.col("first").alias("__near_id"), F.col("h1").alias("__near_h1"), F.col("h2").alias("__near_h2")), "kept")
+    keys = ["__near_id", "__near_h1", "__near_h2"]
+    wide = docs.withColumn("__near_id", _id())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int, int]] = set()
+        turn = TaskContext.get().partitionId() << 36
+        for batch in batches:
+            stays, first, second, blank = [], [], [], []
+            for key, text in zip(batch.column("__near_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                found, weights = shingles(text or "")
+                turn += 1
+                h1, h2 = _digest(found, weights) if len(found) else (turn, turn)
+                stays.append(not len(found) or (key, h1, h2) not in seen)
+                if len(found):
+                    seen.add((key, h1, h2))
+                first.append(h1)
+                second.append(h2)
+                blank.append(not len(found))
+            made = [pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(blank, pa.bool_())]
+            out = pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, "__near_h1", "__near_h2", "__near_blank"])
+            yield out.filter(pa.array(stays, pa.bool_()))
+
+    schema = StructType([*wide.schema.fields, *(StructField(n, LongType()) for n in keys[1:]), StructField("__near_blank", BooleanType())])
+    marked = map_arrow(wide, run, schema).join(kept.withColumn("__near_kept", F.lit(True)), keys, "left")
+    return marked.filter("__near_blank or __near_kept").dropDuplicates(keys).select(*docs.columns)
