@@ -8,7 +8,8 @@ model's table (a fixed size) sent to the tasks: a text is as toxic as its most t
 ``PASSAGE`` code points, so neither chance hits of a long text add up nor is one passage thinned out by it.
 
 Bounds of the training sample (nothing else is sampled): of the labelled texts of at most
-``SAMPLE_CHARS`` code points, ``SAMPLE`` rows of either class, those of least hash of doc_id.
+``SAMPLE_CHARS`` code points, ``SAMPLE`` rows of either class, those of least hash of doc_id, as far as
+half of ``SAMPLE_TOTAL`` code points go; of a repeated doc_id the text of least hash.
 
 Defined results: a null text is the empty text and scores as the model's intercept; repeated rows stay;
 a null label or a null doc_id in labels is no label, repeated labels count once (toxic wins); without
@@ -30,6 +31,7 @@ from tidemark.llm.shared import map_arrow
 
 SAMPLE = 4_000
 SAMPLE_CHARS = 20_000
+SAMPLE_TOTAL = 40_000_000
 #: Code points of a scored passage, and the distinct buckets at which a row's values count as they are.
 PASSAGE = 2_500
 USUAL_BUCKETS = 2_500
@@ -167,12 +169,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel:
     known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).select("doc_id", (F.col("toxic") > 0).alias("toxic"))
     total = known.agg(F.count("*").alias("n"), F.count_if("toxic").alias("t")).first()
-    short = docs.filter(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).select("doc_id")
-    usable = known.join(short, "doc_id", "left_semi")
-    ids = [r for flag in (True, False) for r in usable.filter(F.col("toxic") == flag).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect()]
+    sizes = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("n")).filter(F.col("n") <= SAMPLE_CHARS)
+    usable = known.join(sizes, "doc_id").groupBy("doc_id", "toxic").agg(F.max("n").alias("n"))
+    ids = []
+    for flag in (True, False):
+        left = SAMPLE_TOTAL // 2
+        for r in usable.filter(F.col("toxic") == flag).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect():
+            left -= r["n"]
+            if left >= 0:
+                ids.append(r)
     chosen = F.broadcast(spark.createDataFrame([(r["doc_id"], r["toxic"]) for r in ids], "doc_id long, toxic boolean"))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")
-    rows = rows.filter(F.length("text") <= SAMPLE_CHARS).dropDuplicates(["doc_id"]).collect()
+    rows = rows.filter(F.length("text") <= SAMPLE_CHARS).groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "toxic", "text")).alias("row")).select("doc_id", "row.text", "row.toxic").collect()
     rows.sort(key=lambda r: r["doc_id"])
     return train([r["text"] for r in rows], np.array([r["toxic"] for r in rows], bool), total["t"] / max(total["n"], 1))
 
