@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -140,10 +141,14 @@ def candidates(text: str) -> list[tuple[Span, bool, str]]:
     if not good and not bad and not any(True for _ in _more(text)):
         return []
     out = [(s, True, pattern(text, s, True)) for s in good]
-    taken = sorted(good)
+    # Spans of a kind that are taken never overlap, so the neighbours in order decide.
+    taken: list[list[tuple[int, int]]] = [sorted((a, b) for k, a, b in good if k == kind) for kind in range(len(KINDS))]
     for s in dict.fromkeys([*bad, *_more(text)]):
-        if not any(k == s[0] and a < s[2] and s[1] < b for k, a, b in taken):
-            taken.append(s)
+        kind, start, end = s
+        mine = taken[kind]
+        at = bisect_left(mine, (start, end))
+        if not (at and mine[at - 1][1] > start) and not (at < len(mine) and mine[at][0] < end):
+            mine.insert(at, (start, end))
             out.append((s, False, pattern(text, s, False)))
     return out
 
