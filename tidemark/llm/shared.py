@@ -30,13 +30,21 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` with batches of about ``BATCH_BYTES`` at most (a single longer row is a batch of its own).
 
-    What a task holds of its rows in the JVM and in Python is then bounded however long the texts are.
-    Spark has this limit for a session only: it is lowered there, never raised.
+    What a task holds of its rows in the JVM and in Python is then bounded however long the texts are, and
+    what its Python worker has freed goes back to the system when the task ends.  Every operator of this
+    subpackage maps through here.  Spark has the limit for a session only: it is lowered there, never raised.
     """
     now = df.sparkSession._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()
     if not 0 < now <= BATCH_BYTES:
         df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(run, schema)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(whole, schema)
 
 
 def give_back() -> None:
