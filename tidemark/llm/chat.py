@@ -2,8 +2,10 @@
 
 A conversation's turns are put in order of (turn, role, text), nulls first, and walked by the machine
 ``Template.transitions``; text segments with loss flags are emitted from the template and joined to the
-formatted text.  Texts are escaped so that no control string can come from a text: the escape character
-precedes every escape character and every bar, and each control string holds a bare bar.
+formatted text.  Texts and roles are escaped so that no control string can come from them: the escape
+character precedes every escape character and every bar, and in each control string another character
+stands before the first bar.  Beside the formatted text stands its loss mask, the lengths of its segments
+with a flag each; reading back uses those two alone.
 
 Defined results: a null text is the empty text, a null role the empty role; repeated rows and ties are
 turns of their own; rows with a null conv_id are one conversation; an order of roles that the machine
@@ -21,10 +23,10 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Template:
-    """``<|role|>\\n text <|end|>\\n``; loss_roles: whose texts count; transitions: state -> allowed roles."""
+    """``<|role>|\\n text <|end|>\\n``; loss_roles: whose texts count; transitions: state -> allowed roles."""
 
     open_mark: str = "<|"
-    close_mark: str = "|>\n"
+    close_mark: str = ">|\n"
     end_mark: str = "<|end|>\n"
     loss_roles: tuple[str, ...] = ("assistant",)
     transitions: dict[str, tuple[str, ...]] = field(
@@ -36,6 +38,11 @@ class Template:
         }
     )
 
+    def __post_init__(self) -> None:
+        for mark in (self.open_mark, self.close_mark, self.end_mark):
+            if mark.find("|") < 1 or mark[mark.find("|") - 1] == "\\":
+                raise ValueError(f"a control string needs a character that isn't the escape before its first bar: {mark!r}")
+
 
 DEFAULT = Template()
 
@@ -67,7 +74,7 @@ def _walk(turns: Column, template: Template) -> Column:
 
 
 def format_chats(turns: DataFrame, template: Template = DEFAULT) -> DataFrame:
-    """conv_id, segments (array of text, loss), formatted, valid, first_error for each conversation."""
+    """conv_id, segments (array of text, loss), formatted, mask (array of chars, loss), valid, first_error for each conversation."""
     row = F.struct("turn", F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     convs = turns.select("conv_id", row.alias("turn_row")).groupBy("conv_id").agg(F.sort_array(F.collect_list("turn_row")).alias("turns"))
     segment = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
@@ -85,29 +92,37 @@ def format_chats(turns: DataFrame, template: Template = DEFAULT) -> DataFrame:
     return (
         convs.select("conv_id", segments.alias("segments"), bad.alias("first_error"))
         .withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), ""))
+        .withColumn("mask", F.transform("segments", lambda s: F.struct(F.length(s["text"]).alias("chars"), s["loss"].alias("loss"))))
         .withColumn("valid", F.col("first_error") < 0)
     )
 
 
 def parse_chats(formatted: DataFrame, template: Template = DEFAULT) -> DataFrame:
-    """Adds ``parsed`` (array of role, text), read back from ``formatted`` alone."""
+    """Adds ``parsed`` (array of role, text, loss), read back from ``formatted`` and ``mask`` alone.
+
+    A turn is three segments of the mask; if their lengths aren't those of the formatted turn, the read fails.
+    """
     pieces = F.split("formatted", rf"\Q{template.end_mark}\E", -1)
     pieces = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+    head = len(template.close_mark) - 1
 
-    def parse(piece: Column) -> Column:
+    def parse(piece: Column, i: Column) -> Column:
         close = F.instr(piece, template.close_mark)
         role = F.substring(piece, F.lit(len(template.open_mark) + 1), close - 1 - len(template.open_mark))
         text = F.substring(piece, close + len(template.close_mark), F.length(piece))
-        return F.struct(unescape(role).alias("role"), unescape(text).alias("text"))
+        turn = [F.get(F.col("mask"), i * 3 + k) for k in range(3)]
+        fits = (turn[0]["chars"] == close + head) & (turn[1]["chars"] == F.length(text)) & ~turn[0]["loss"] & ~turn[2]["loss"]
+        loss = F.when(fits, turn[1]["loss"]).otherwise(F.raise_error(F.lit("the loss mask doesn't fit the formatted text")).cast("boolean"))
+        return F.struct(unescape(role).alias("role"), unescape(text).alias("text"), loss.alias("loss"))
 
     return formatted.withColumn("parsed", F.transform(pieces, parse))
 
 
 def chat_digests(turns: DataFrame, template: Template = DEFAULT) -> DataFrame:
     """Per conversation: what reading the formatted text and the loss mask back gives, as digests."""
-    back = parse_chats(format_chats(turns, template), template)
+    back = parse_chats(format_chats(turns, template).drop("segments"), template)
     said = F.array_join(F.transform("parsed", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"])), "")
+    loss = F.array_join(F.transform(F.filter("parsed", lambda t: t["loss"]), lambda t: t["text"]), "")
     return back.select(
         "conv_id",
         F.size("parsed").cast("long").alias("n_turns"),
