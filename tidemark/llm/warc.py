@@ -1,9 +1,12 @@
 """Content-addressed WARC archive: payload bytes once by verified digest, headers kept apart.
 
 ``write_archive`` stores two tables: ``payloads`` (digest, payload) holds each distinct payload once,
-``headers`` (page_id, digest, header) holds the exact header block of every record.
+``headers`` (page_id, url, digest, header) holds the exact header block of every record.
 ``records`` joins them back to the original records.  Columns and SQL functions only.
 
+A revisit's block is empty (its payload is that of the record it refers to), so its Content-Length is 0.
+A line end in a url is percent-encoded in its header line; the ``url`` column keeps the url as it came.
+
 Defined results: a null payload is the empty payload; a null page_id is written with an empty record
 number and is never the response that others refer to unless all its copies have none; repeated rows
 are records of their own, of which one per payload (smallest page_id) is the response and rows with
@@ -23,27 +26,37 @@ REVISIT_MIN_BYTES = 100
 CRLF = "\r\n"
 
 
-def _header(kind: Column, refers: Column) -> Column:
+#: The profile of a record whose payload is that of an earlier one.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+
+
+def _header(kind: Column, refers: Column, date: str) -> Column:
     """The header block of a record; optional lines are left out, not left empty."""
 
     def line(name: str, value: Column) -> Column:
         return F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
 
+    revisit = kind == "revisit"
+    uri = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     return F.concat(
         F.lit(f"WARC/1.1{CRLF}"),
         line("WARC-Type", kind),
         line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">"))),
-        F.coalesce(line("WARC-Target-URI", F.regexp_replace("url", "[\r\n]", " ")), F.lit("")),
+        F.lit(f"WARC-Date: {date}{CRLF}"),
+        F.coalesce(line("WARC-Target-URI", uri), F.lit("")),
+        F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}{CRLF}")).otherwise(""),
         F.coalesce(line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), refers.cast("string"), F.lit(">"))), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         F.lit(f"Content-Type: text/html; charset=utf-8{CRLF}"),
-        line("Content-Length", F.col("bytes").cast("string")),
+        line("Content-Length", F.when(revisit, "0").otherwise(F.col("bytes").cast("string"))),
     )
 
 
-def write_archive(pages: DataFrame, path: str, min_bytes: int = REVISIT_MIN_BYTES) -> None:
+def write_archive(pages: DataFrame, path: str, min_bytes: int = REVISIT_MIN_BYTES, date: str = "1970-01-01T00:00:00Z") -> None:
     """Writes ``pages`` (page_id, url, html) as an archive of two Parquet tables under ``path``.
 
+    ``date``: when the pages were fetched, which they don't say themselves.
+
     One shuffle of payloads: the copies of a payload are reduced before and after it, so that many
     copies cost one row for each task.  The headers' shuffle moves digests and urls only.
     """
@@ -61,8 +74,9 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = REVISIT_MIN_BYTE
     revisit = F.coalesce(revisit, F.col("page_id").isNull() & F.col("first_id").isNotNull() & (F.col("bytes") >= min_bytes))
     headers = rows.select(
         "page_id",
+        "url",
         "digest",
-        _header(F.when(revisit, "revisit").otherwise("response"), F.when(revisit, F.col("first_id"))).alias("header"),
+        _header(F.when(revisit, "revisit").otherwise("response"), F.when(revisit, F.col("first_id")), date).alias("header"),
     )
     headers.write.parquet(f"{path}/headers")
 
@@ -73,15 +87,16 @@ def _field(name: str) -> Column:
 
 
 def read_headers(spark: SparkSession, path: str) -> DataFrame:
-    """Headers parsed from their blocks: page_id, digest, header, record_type, refers_to, claimed_bytes."""
+    """Headers parsed from their blocks: page_id, url, digest, header, record_type, refers_to, block_bytes."""
     number = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d+)>", 1).try_cast("long")
     return spark.read.parquet(f"{path}/headers").select(
         number(_field("WARC-Record-ID")).alias("page_id"),
+        "url",
         F.regexp_replace(_field("WARC-Payload-Digest"), "^sha256:", "").alias("digest"),
         "header",
         _field("WARC-Type").alias("record_type"),
         number(_field("WARC-Refers-To")).alias("refers_to"),
-        _field("Content-Length").try_cast("long").alias("claimed_bytes"),
+        _field("Content-Length").try_cast("long").alias("block_bytes"),
     )
 
 
