@@ -201,6 +201,10 @@ def test_secret_ledger(spark):
     assert got == {("a", 1): 3, ("b", 1): 0, ("b", 2): 3, ("c", 1): 0}
     after = secret_scan.findings_by_path(v, ledger.union(again), newer).collect()
     assert {len(r["spans"]) for r in after} == {0, 2}
+    many = " ".join("f0" * 8 for _ in range(20_000))
+    found = secret_scan.scan_documents(docs(spark, [(1, many + " AKIA" + "A" * 20)])).first()
+    assert (found["n_hex"], found["n_access"]) == (20_000, 1)
+    assert found["spans"].split(",")[:2] == ["hex:0:16", "hex:17:33"] and found["spans"].endswith(f"access:{len(many) + 1}:{len(many) + 25}")
     assert secret_scan.scan_documents(docs(spark, [])).isEmpty() and secret_scan.scan_documents(docs(spark, ODD)).count() == len(ODD)
 
 
@@ -209,6 +213,13 @@ def test_chat(spark):
     t = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("segments", F.lit(1))
     back = {r["conv_id"]: [(x["role"], x["text"]) for x in r["parsed"]] for r in chat.parse_chats(chat.format_chats(t)).collect()}
     assert back[1] == [("user", rows[0][3]), ("assistant", rows[1][3])] and back[2] == [("", "x"), ("assistant", "")] and len(back[3]) == 2
+    marks = ["a|>\nb", "end", "<|end|>\n", ">|\n", "a\\", "|", "\\|", "user>|", "\n", ""]
+    odd = [(i, k, r, x) for i, r in enumerate(marks) for k, x in enumerate([*marks, "hello"])]
+    said = {r["conv_id"]: [(x["role"], x["text"]) for x in r["parsed"]] for r in chat.parse_chats(chat.format_chats(spark.createDataFrame(odd, t.schema[:4]))).collect()}
+    assert said == {i: [(r, x) for x in [*marks, "hello"]] for i, r in enumerate(marks)}
+    broken = chat.format_chats(t.filter("conv_id = 1")).withColumn("mask", F.reverse("mask"))
+    with pytest.raises(Exception, match="loss mask"):
+        chat.parse_chats(broken).collect()
     out = {r["conv_id"]: r for r in chat.chat_digests(t).collect()}
     assert out[1]["valid"] and not out[2]["valid"] and out[3]["first_error"] == 1
     assert out[1]["loss_sha256"] == hashlib.sha256(rows[1][3].encode()).hexdigest()
@@ -226,6 +237,18 @@ def test_warc(spark, tmp_path):
     recs = {r["page_id"]: r for r in warc.records(spark, path).collect()}
     assert bytes(recs[2]["payload"]).decode() == page and bytes(recs[1]["record"]).endswith(page.encode() + b"\r\n\r\n")
     assert spark.read.parquet(f"{path}/payloads").count() == 3
+    # A reader that knows nothing but the format goes through all records end to end, by their own lengths.
+    data, seen = b"".join(bytes(r["record"]) for r in recs.values()), {}
+    while data:
+        head, _, data = data.partition(b"\r\n\r\n")
+        first, *lines = head.decode().split("\r\n")
+        fields = dict(x.split(": ", 1) for x in lines)
+        n = int(fields["Content-Length"])
+        assert first == "WARC/1.1" and data[n : n + 4] == b"\r\n\r\n" and fields["WARC-Date"]
+        assert (fields["WARC-Type"] == "revisit") == ("WARC-Profile" in fields) == (n == 0 and fields["WARC-Record-ID"] != "<urn:page:6>")
+        seen[fields["WARC-Record-ID"]], data = data[:n].decode(), data[n + 4 :]
+    assert seen["<urn:page:1>"] == page and seen["<urn:page:4>"] == "short" and len(seen) == 7
+    assert recs[1]["url"] == "u\r\nX: y"
     assert warc.archive_pages(p.limit(0)).isEmpty()
 
 

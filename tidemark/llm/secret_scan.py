@@ -13,6 +13,7 @@ version) rows stay; an empty table gives empty results; extra columns are ignore
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -58,21 +59,42 @@ SPAN = "struct<start: bigint, kind: int, end: bigint, version: int>"
 NO_SPANS = f"cast(array() as array<{SPAN}>)"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is named."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _offsets(text: Column, rule: Rule, kind: int) -> Column:
-    """Spans of a rule's matches in ``text``: array of (start, kind, end, version), leftmost non-overlapping."""
-    match = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0))
-    group = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(rule.group))
-    gaps = F.slice(F.split(text, rule.regex, -1), F.lit(1), F.size(match))
-    rows = F.arrays_zip(gaps.alias("gap"), F.transform(match, F.length).alias("n"), F.transform(group, F.length).alias("counted"))
-    empty = F.expr(f"cast(named_struct('at', 0L, 'out', {NO_SPANS}) as struct<at: bigint, out: array<{SPAN}>>)")
+    """Spans of a rule's matches in ``text``: array of (start, kind, end, version), leftmost non-overlapping.
+
+    Running sums go over runs of about the square root of the matches' number, first over whole runs, then
+    within each, so that what is copied stays small beside the scan of the text.
+    """
+
+    def zipped(match: Column) -> Column:
+        counted = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(rule.group)) if rule.group else match
+        sizes = lambda texts: F.transform(texts, F.length)
+        return F.arrays_zip(sizes(F.split(text, rule.regex, -1)).alias("gap"), sizes(match).alias("n"), sizes(counted).alias("counted"))
+
+    def runs_of(rows: Column) -> Column:  # the last row is the text behind the last match
+        run = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(rows)))).cast("int")
+        return _let(run, lambda n: F.transform(F.sequence(F.lit(0), F.floor((F.size(rows) - 1) / n).cast("int")), lambda i: F.slice(rows, i * n + 1, n)))
+
+    def passed(runs: Column) -> Column:
+        total = lambda rows: F.aggregate(rows, F.lit(0).cast("long"), lambda n, x: n + x["gap"] + F.coalesce(x["n"], F.lit(0)))
+        return F.aggregate(F.transform(runs, total), F.expr("array(0L)"), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
 
     def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
+        start = acc["at"] + x["gap"]
         end = start + x["n"]
         span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), F.lit(rule.version).alias("version"))
         return F.struct(end.alias("at"), F.when(x["counted"] >= rule.least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(rows, empty, step, lambda acc: acc["out"])
+    def of(runs: Column) -> Column:
+        begin = lambda at: F.struct(at.alias("at"), F.expr(NO_SPANS).alias("out"))
+        return F.flatten(F.zip_with(runs, F.slice(passed(runs), F.lit(1), F.size(runs)), lambda rows, at: F.aggregate(rows, begin(at), step, lambda acc: acc["out"])))
+
+    return _let(F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0)), lambda match: _let(zipped(match), lambda rows: _let(runs_of(rows), of)))
 
 
 def _scan(text: Column, rule: Rule, kind: int, wanted: Column | None = None) -> Column:
@@ -117,7 +139,8 @@ def findings_by_path(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule,
     current = F.array(*[F.lit(r.version) for r in rules])
     live = F.filter("spans", lambda s: current[s["kind"]] == s["version"])
     found = ledger.select("blob", live.alias("spans")).filter(F.size("spans") > 0)
-    found = found.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    # Written, so that the join below is of its own shuffle and Spark can split a blob with very many paths.
+    found = cut(found.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans")), "findings")
     keyed = address(versions, content).drop(content)
     return keyed.join(found, "blob", "left").withColumn("spans", F.coalesce("spans", F.expr(NO_SPANS)))
 
