@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import json_field, typed
-from tidemark.specs import DimensionSpec, TableSpec
+from tidemark.functions.values import typed
+from tidemark.specs import Table
 
 META = ("op", "source_lsn", "source_ts_ms", "is_deleted", "kafka_offset")
 
 
-def parse(log: DataFrame, spec: TableSpec | DimensionSpec) -> DataFrame:
-    """Declared columns of the payload with their types, and the row's metadata."""
-    return log.select(*[typed(json_field("payload", c), t).alias(c) for c, t in spec.columns], *META)
+def parse(log: DataFrame, spec: Table) -> DataFrame:
+    """Declared columns of the payload with their types, and the row's metadata; a payload is parsed once."""
+    raw = [f"__{c}" for c in spec.column_names]
+    fields = log.select(*META, F.json_tuple("payload", *spec.column_names).alias(*raw))
+    return fields.select(*[typed(F.col(f"__{c}"), t).alias(c) for c, t in spec.columns], *META)
 
 
 def distinct_keys(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return rows.select(*keys).distinct()
 
 
-def latest_per_key(events: DataFrame, spec: TableSpec) -> DataFrame:
+def latest_per_key(events: DataFrame, spec: Table) -> DataFrame:
     """One row per key: position and deletion of its newest event, values of its newest live one.
 
     ``has_values`` is false where only deletes are known; then the newest delete's values stand in.
@@ -41,7 +43,7 @@ def latest_per_key(events: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def apply_latest(target: DataFrame, latest: DataFrame, spec: TableSpec) -> DataFrame:
+def apply_latest(target: DataFrame, latest: DataFrame, spec: Table) -> DataFrame:
     """The target after the batch: newer rows win, a delete without values only marks, unseen keys enter.
 
     A batch row that isn't newer than the stored one changes nothing.  Values older than the stored row

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import beginning, forever, row_hash, surrogate_key
-from tidemark.specs import DIMENSION_META, DimensionSpec
+from tidemark.specs import Table
 
 #: A batch's keys are broadcast to find their stored versions up to so many; beyond, a shuffled semi join.
 BROADCAST_KEYS = 100_000
 
 
-def _ordered(events: DataFrame, spec: DimensionSpec) -> DataFrame:
+def _ordered(events: DataFrame, spec: Table) -> DataFrame:
     """Events with their hash, one per (key, LSN): that of the greatest offset.
 
     Dealt by key alone, which serves this window, the chain's windows and the joins by key after it.
@@ -27,7 +27,7 @@ def _ordered(events: DataFrame, spec: DimensionSpec) -> DataFrame:
     return once.withColumn("row_hash", row_hash(spec.tracked))
 
 
-def _versions(chain: DataFrame, spec: DimensionSpec) -> DataFrame:
+def _versions(chain: DataFrame, spec: Table) -> DataFrame:
     """Versions of a chain of events in LSN order.
 
     ``chain`` also has ``_anchor`` (the stored current version, which opened earlier) and ``_known``
@@ -54,11 +54,11 @@ def _versions(chain: DataFrame, spec: DimensionSpec) -> DataFrame:
     )
 
 
-def output_columns(spec: DimensionSpec) -> list[str]:
-    return [spec.surrogate, *spec.column_names, *[c for c, _ in DIMENSION_META]]
+def output_columns(spec: Table) -> list[str]:
+    return [spec.surrogate, *spec.column_names, *[c.split(" ")[0] for c in spec.meta_ddl.split(", ")]]
 
 
-def scd2_history(events: DataFrame, spec: DimensionSpec) -> DataFrame:
+def scd2_history(events: DataFrame, spec: Table) -> DataFrame:
     """All versions from a complete log."""
     chain = _ordered(events, spec).withColumns({"_anchor": F.lit(False), "_known": F.lit(False), "valid_from": F.lit(None).cast("timestamp")})
     return _versions(chain, spec).select(*output_columns(spec))
@@ -71,7 +71,7 @@ def stored_of_batch(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return stored.join(F.broadcast(keys) if few else keys, key, "left_semi")
 
 
-def scd2_changes(events: DataFrame, stored: DataFrame, spec: DimensionSpec, seen: DataFrame | None = None) -> DataFrame:
+def scd2_changes(events: DataFrame, stored: DataFrame, spec: Table, seen: DataFrame | None = None) -> DataFrame:
     """Rows to merge: the stored current version where it closes, and new versions.
 
     ``stored``: versions of the batch's keys.  ``seen`` (key, high_lsn): the highest LSN applied to each
@@ -90,7 +90,7 @@ def scd2_changes(events: DataFrame, stored: DataFrame, spec: DimensionSpec, seen
     return made.filter(~F.col("_anchor") | ~F.col("is_current")).select(*output_columns(spec))
 
 
-def scd2_merge(stored: DataFrame, changes: DataFrame, spec: DimensionSpec) -> DataFrame:
+def scd2_merge(stored: DataFrame, changes: DataFrame, spec: Table) -> DataFrame:
     """Stored versions after a batch: closed ones take their end from the batch, new ones are added."""
     moved = ("valid_to", "is_current", "is_deleted", "silver_updated_at")
     t, s = stored.alias("t"), changes.alias("s")
@@ -100,12 +100,12 @@ def scd2_merge(stored: DataFrame, changes: DataFrame, spec: DimensionSpec) -> Da
     return both.select(*[pick(c) for c in output_columns(spec)])
 
 
-def scd2_apply(stored: DataFrame, events: DataFrame, spec: DimensionSpec, seen: DataFrame | None = None) -> DataFrame:
+def scd2_apply(stored: DataFrame, events: DataFrame, spec: Table, seen: DataFrame | None = None) -> DataFrame:
     """Stored versions after a batch of events."""
     return scd2_merge(stored, scd2_changes(events, stored_of_batch(stored, events, spec.key), spec, seen), spec)
 
 
-def high_water(seen: DataFrame, events: DataFrame, spec: DimensionSpec) -> DataFrame:
+def high_water(seen: DataFrame, events: DataFrame, spec: Table) -> DataFrame:
     """(key, high_lsn) after a batch."""
     both = seen.unionByName(events.select(spec.key, F.col("source_lsn").alias("high_lsn")))
     return both.groupBy(spec.key).agg(F.max("high_lsn").alias("high_lsn"))

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import rules
 from tidemark.operators import bronze, facts, gold, reconcile, scd2
-from tidemark.specs import DimensionSpec, TableSpec
+from tidemark.specs import Table
 
-COLUMNS = (("user_id", "BIGINT"), ("event_type", "STRING"), ("hundreds", "BIGINT"))
-USERS = TableSpec("users", ("user_id",), COLUMNS)
-USER_VERSIONS = DimensionSpec("users", "dim_user", "user_id", "user_sk", COLUMNS, ("event_type", "hundreds"))
+COLUMNS = "user_id BIGINT, event_type STRING, hundreds BIGINT"
+USERS = Table("users", COLUMNS, ("user_id",))
+USER_VERSIONS = Table("dim_user", COLUMNS, ("user_id",), "users", "user_sk", ("event_type", "hundreds"))
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import bronze, facts, scd2
 from tidemark.sources.keyed_table import KeyedTable
-from tidemark.specs import DimensionSpec, TableSpec, ddl
+from tidemark.specs import Table, ddl
 
 
 def write_bronze(root: str):
@@ -47,7 +47,7 @@ def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{table}")
 
 
-def upsert_facts(spec: TableSpec, table: KeyedTable):
+def upsert_facts(spec: Table, table: KeyedTable):
     """A batch handler that brings a current-state table up to date."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -61,7 +61,7 @@ def upsert_facts(spec: TableSpec, table: KeyedTable):
     return handle
 
 
-def version_dimension(spec: DimensionSpec, table: KeyedTable, seen: KeyedTable):
+def version_dimension(spec: Table, table: KeyedTable, seen: KeyedTable):
     """A batch handler that brings a versioned table and its per-key high-water LSNs up to date."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -77,11 +77,11 @@ def version_dimension(spec: DimensionSpec, table: KeyedTable, seen: KeyedTable):
     return handle
 
 
-def fact_table(spark: SparkSession, root: str, spec: TableSpec) -> KeyedTable:
+def fact_table(spark: SparkSession, root: str, spec: Table) -> KeyedTable:
     return KeyedTable(spark, f"{root}/{spec.name}", ddl(spec), spec.keys)
 
 
-def dimension_tables(spark: SparkSession, root: str, spec: DimensionSpec) -> tuple[KeyedTable, KeyedTable]:
+def dimension_tables(spark: SparkSession, root: str, spec: Table) -> tuple[KeyedTable, KeyedTable]:
     kind = dict(spec.columns)[spec.key]
     return KeyedTable(spark, f"{root}/{spec.name}", ddl(spec), (spec.surrogate,)), KeyedTable(spark, f"{root}/{spec.name}_seen", f"{spec.key} {kind}, high_lsn BIGINT", (spec.key,))
 
