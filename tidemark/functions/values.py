@@ -1,4 +1,4 @@
-"""Scalar expressions shared by the operators: JSON fields, tolerant casts, hashes, sentinels."""
+"""Scalar expressions shared by the operators: tolerant casts, hashes, sentinels."""
 
 from __future__ import annotations
 
@@ -13,11 +13,6 @@ BEGINNING, FOREVER = datetime(1900, 1, 1), datetime(9999, 12, 31)
 NULL_MARK, SEPARATOR = "␀", "\u0001"
 
 
-def json_field(payload: str, name: str | None = None) -> Column:
-    """A field of a JSON object as text, or with no name the whole value; NULL if it isn't there."""
-    return F.get_json_object(F.col(payload), f"$.{name}" if name else "$")
-
-
 def typed(raw: Column, sql_type: str) -> Column:
     """Text to a declared type; what doesn't parse is NULL, never an error.  Booleans: only 'true' is true."""
     if sql_type == "BOOLEAN":

@@ -144,7 +144,7 @@ class Workload:
 
     def snapshot(self, name: str) -> DataFrame:
         """A table's rows as snapshot records; LSN 1 for all, as one transaction reads them."""
-        return records(self.table(name), name, F.lit("r"), F.lit(1), self._now())
+        return records(self.table(name), name, F.lit("r"), F.lit(1), self._now(), F.monotonically_increasing_id())
 
     def scenario(self, name: str) -> DataFrame:
         """Change records of a scripted case, to be applied after the snapshots of its table.
@@ -195,8 +195,8 @@ def by_key(column: str, values: dict) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col(column))
 
 
-def records(rows: DataFrame, table: str, op: Column, lsn: Column, at: Column) -> DataFrame:
-    """Rows as broker records of a table's topic; the offset is the LSN's place, so order is commit order."""
+def records(rows: DataFrame, table: str, op: Column, lsn: Column, at: Column, offset: Column | None = None) -> DataFrame:
+    """Rows as broker records of a table's topic; unless given, offsets follow the LSN, behind all of a snapshot."""
     spec = FACTS.get(table) or DIMENSIONS[table]
     utc = lambda c, t: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias(c) if t == "TIMESTAMP" else F.col(c).cast("string").alias(c) if t.startswith("DECIMAL") else F.col(c)
     meta = (op.alias("__op"), lsn.cast("bigint").alias("__source_lsn"), F.unix_millis(at).alias("__source_ts_ms"), (op == "d").cast("string").alias("__deleted"))
@@ -205,6 +205,6 @@ def records(rows: DataFrame, table: str, op: Column, lsn: Column, at: Column) ->
         F.to_json(F.struct(*[utc(c, t) for c, t in spec.columns], *meta)).cast("binary").alias("value"),
         F.lit(f"fmcg.public.{table}").alias("topic"),
         F.lit(0).alias("partition"),
-        lsn.cast("bigint").alias("offset"),
+        (F.lit(1 << 50) + lsn.cast("bigint") if offset is None else offset).alias("offset"),
         at.alias("timestamp"),
     )

@@ -1,8 +1,8 @@
 """Streaming jobs: records to change-log tables, change log to current state and to versions.
 
 Each job is a ``foreachBatch`` query.  Change-log tables are Parquet under ``<root>/<table>`` in
-``batch_id=N/ingest_date=D`` partitions; a replayed batch overwrites its own partition, so it is written
-once.  Keyed tables take a batch once by its recorded id.
+``batch_id=N/ingest_date=D`` partitions; a replayed batch overwrites all that its id wrote, also on a
+later date, so it is written once.  Keyed tables take a batch of a query once by its recorded id.
 """
 
 from __future__ import annotations
@@ -25,14 +25,14 @@ def write_bronze(root: str):
         parsed = bronze.parse_cdc(batch).persist()
         try:
             counts = bronze.batch_counts(parsed).collect()
-            day = "1970-01-01"
             writes = [(f"{root}/{t}", bronze.accepted(parsed, t)) for t in sorted({r["table"] for r in counts if not r["is_bad"]})]
             if any(r["is_bad"] for r in counts):
                 writes.append((f"{root}/_quarantine", bronze.quarantined(parsed)))
 
             def write(job: tuple[str, DataFrame]) -> None:
                 path, rows = job
-                rows.withColumn("ingest_date", F.coalesce("ingest_date", F.lit(day).cast("date"))).write.mode("overwrite").partitionBy("ingest_date").parquet(f"{path}/batch_id={batch_id}")
+                # Static: what an earlier run of this batch wrote on another date goes too.
+                rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("ingest_date").parquet(f"{path}/batch_id={batch_id}")
 
             if writes:
                 with ThreadPoolExecutor(len(writes)) as pool:
@@ -43,6 +43,11 @@ def write_bronze(root: str):
     return handle
 
 
+def writer_of(batch: DataFrame) -> str:
+    """The id of the streaming query that a batch comes from, which its checkpoint keeps; empty outside of one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
 def read_bronze(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{table}")
 
@@ -54,7 +59,7 @@ def upsert_facts(spec: Table, table: KeyedTable):
         latest = facts.latest_per_key(facts.parse(batch, spec), spec).persist()
         try:
             if not latest.isEmpty():
-                table.upsert(latest, lambda now, new: facts.apply_latest(now, new, spec), batch_id)
+                table.upsert(latest, lambda now, new: facts.apply_latest(now, new, spec), batch_id, writer_of(batch))
         finally:
             latest.unpersist()
 
@@ -69,8 +74,8 @@ def version_dimension(spec: Table, table: KeyedTable, seen: KeyedTable):
         try:
             if not events.isEmpty():
                 marks = seen.read()
-                table.upsert(events, lambda now, new: scd2.scd2_apply(now, new, spec, marks.join(new.select(spec.key).distinct(), spec.key, "left_semi")), batch_id)
-                seen.upsert(events, lambda now, new: scd2.high_water(now, new, spec), batch_id)
+                table.upsert(events, lambda now, new: scd2.scd2_apply(now, new, spec, marks.join(new.select(spec.key).distinct(), spec.key, "left_semi")), batch_id, writer_of(batch))
+                seen.upsert(events, lambda now, new: scd2.high_water(now, new, spec), batch_id, writer_of(batch))
         finally:
             events.unpersist()
 
@@ -83,7 +88,7 @@ def fact_table(spark: SparkSession, root: str, spec: Table) -> KeyedTable:
 
 def dimension_tables(spark: SparkSession, root: str, spec: Table) -> tuple[KeyedTable, KeyedTable]:
     kind = dict(spec.columns)[spec.key]
-    return KeyedTable(spark, f"{root}/{spec.name}", ddl(spec), (spec.surrogate,)), KeyedTable(spark, f"{root}/{spec.name}_seen", f"{spec.key} {kind}, high_lsn BIGINT", (spec.key,))
+    return KeyedTable(spark, f"{root}/{spec.name}", ddl(spec), spec.keys), KeyedTable(spark, f"{root}/{spec.name}_seen", f"{spec.key} {kind}, high_lsn BIGINT", (spec.key,))
 
 
 def checkpoint_of(root: str, table: str) -> str:

@@ -6,6 +6,7 @@ Exit 0 when a check passes, 1 when it fails, 2 for wrong usage.
 from __future__ import annotations
 
 import sys
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -14,9 +15,10 @@ from pyspark.sql import functions as F
 from tidemark.operators import bronze, facts, reconcile, scd2
 from tidemark.session import build_session, fresh_path
 from tidemark.sources.keyed_table import KeyedTable
+from tidemark.sources.streams import jdbc_table
 from tidemark.sources.workload import Workload
 from tidemark.specs import DIMENSIONS, FACTS
-from tidemark.streaming.jobs import checkpoint_of, dimension_tables, fact_table, read_bronze
+from tidemark.streaming.jobs import checkpoint_of, dimension_tables, fact_table, read_bronze, wait_for
 
 
 def list_tables(spark: SparkSession, root: str) -> list[str]:
@@ -38,6 +40,8 @@ def bronze_check(spark: SparkSession, root: str, *tables: str) -> int:
         log = read_bronze(spark, root, t)
         bronze.counts_by_op(log).show()
         bad += bronze.duplicate_offsets(log).count()
+    if wait_for(spark, f"{root}/_quarantine", 0, 0):
+        bronze.quarantine_reasons(read_bronze(spark, root, "_quarantine")).show(truncate=False)
     return int(bad > 0)
 
 
@@ -52,14 +56,26 @@ def scd2_check(spark: SparkSession, root: str) -> int:
     return int(bad > 0)
 
 
-def reconcile_table(spark: SparkSession, root: str, name: str, source: str) -> int:
-    """Compares a current-state table with a Parquet copy of its source."""
+def reconcile_table(spark: SparkSession, root: str, name: str, source: str, seconds: str = "0") -> int:
+    """Compares a current-state table with its source: a Parquet copy, or a live table by a jdbc: url.
+
+    A live pipeline lags behind its source, so the comparison is repeated until nothing differs or
+    ``seconds`` have passed; then counts and five samples of each kind of difference are printed.
+    """
     spec = FACTS[name]
     rest = tuple(c for c in spec.column_names if c not in spec.keys)
-    out = reconcile.compare(spark.read.parquet(source), facts.live(fact_table(spark, root, spec).read()), spec.keys, rest)
-    out.groupBy("status").agg(F.count("*").alias("n")).show()
-    out.show(5)
-    return int(not out.isEmpty())
+    end = time.time() + float(seconds)
+    while True:
+        rows = jdbc_table(spark, source, name) if source.startswith("jdbc:") else spark.read.parquet(source)
+        out = reconcile.compare(rows, facts.live(fact_table(spark, root, spec).read()), spec.keys, rest)
+        counts = {r["status"]: r["n"] for r in out.groupBy("status").agg(F.count("*").alias("n")).collect()}
+        if not counts or time.time() >= end:
+            break
+        time.sleep(min(5, max(0.0, end - time.time())))
+    print(f"{name}: " + (", ".join(f"{n} {status}" for status, n in sorted(counts.items())) or "equal"))
+    for status in sorted(counts):
+        out.filter(F.col("status") == status).orderBy(*spec.keys).show(5)
+    return int(bool(counts))
 
 
 def _delete(spark: SparkSession, path: str) -> bool:
