@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import rules
 from tidemark.operators import bronze, facts, gold, reconcile, scd2
+from tidemark.session import fresh_path
 from tidemark.specs import Table
 
 COLUMNS = "user_id BIGINT, event_type STRING, hundreds BIGINT"
@@ -24,6 +25,13 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def change_log(spark: SparkSession, sf: str) -> DataFrame:
     e = _t(spark, sf, "events")
     op = F.when(F.col("event_type") == "signup", "r").when(F.col("event_type") == "purchase", "c").when(F.col("event_type") == "error", "d").otherwise("u")
@@ -71,6 +79,15 @@ def cdc_parse(spark, sf):
     return facts.parse(rows, USERS)
 
 
+def typed_values(spark, sf):
+    """Payload texts of lines as every declared type, some of them no values of their type."""
+    kinds = Table("lines", "line BIGINT, part INT, price DECIMAL(12,2), seen_at TIMESTAMP, is_open BOOLEAN, note STRING", ("line",))
+    odd = F.col("l_linenumber")
+    payload = F.to_json(F.struct((F.col("l_orderkey") * 10 + odd).alias("line"), F.when(odd == 1, "x1").otherwise(F.col("l_partkey").cast("string")).alias("part"), F.when(odd == 2, "n/a").otherwise(F.col("l_extendedprice").cast("decimal(12,2)").cast("string")).alias("price"), F.when(odd == 3, "soon").otherwise(F.concat(F.col("l_shipdate").cast("date").cast("string"), F.lit("T10:00:00.250000Z"))).alias("seen_at"), F.when(odd == 4, "TRUE").otherwise((odd > 2).cast("string")).alias("is_open"), F.when(odd != 5, "ß").alias("note")))
+    log = _t(spark, sf, "lineitem").select(payload.alias("payload"), F.lit("c").alias("op"), F.lit(1).cast("long").alias("source_lsn"), F.lit(1).cast("long").alias("source_ts_ms"), F.lit(False).alias("is_deleted"), F.lit(1).cast("long").alias("kafka_offset"))
+    return facts.parse(log, kinds).select(*kinds.column_names)
+
+
 def cdc_quarantine_reasons(spark, sf):
     return bronze.parse_cdc(records(spark, sf)).filter("quarantine_reason is not null").groupBy("table", "quarantine_reason").agg(F.count("*").alias("n"))
 
@@ -121,8 +138,13 @@ def merge_two_batches(spark, sf):
     return _merged(spark, sf)
 
 
+def _version_log(spark, sf):
+    """The log with a tracked value that every eleventh event lacks."""
+    return change_log(spark, sf).withColumn("hundreds", F.when(F.col("source_lsn") % 11 != 0, F.col("hundreds")))
+
+
 def _versions(spark, sf):
-    return scd2.scd2_history(change_log(spark, sf), USER_VERSIONS)
+    return scd2.scd2_history(_version_log(spark, sf), USER_VERSIONS)
 
 
 _SHOWN = ("user_id", "event_type", "hundreds", "row_hash", "valid_from", "valid_to", "is_current", "is_deleted", "source_lsn", "source_ts_ms")
@@ -133,11 +155,13 @@ def scd2_history(spark, sf):
 
 
 def scd2_incremental_two_batches(spark, sf):
-    log = change_log(spark, sf)
+    log = _version_log(spark, sf)
     middle = F.col("source_lsn") <= log.agg((F.max("source_lsn") / 2).cast("long")).first()[0]
     first, second = log.filter(middle), log.filter(~middle)
-    seen = first.groupBy("user_id").agg(F.max("source_lsn").alias("high_lsn"))
-    return scd2.scd2_apply(scd2.scd2_history(first, USER_VERSIONS), second, USER_VERSIONS, seen).select(*_SHOWN)
+    # What the first batch leaves is stored, as the job stores it.
+    stored = _stored(scd2.scd2_history(first, USER_VERSIONS), "versions")
+    seen = _stored(first.groupBy("user_id").agg(F.max("source_lsn").alias("high_lsn")), "seen")
+    return scd2.scd2_apply(stored, second, USER_VERSIONS, seen).select(*_SHOWN)
 
 
 def scd2_noops(spark, sf):
@@ -145,8 +169,24 @@ def scd2_noops(spark, sf):
     return change_log(spark, sf).filter("not is_deleted").join(made, ["user_id", "source_lsn"], "left_anti").select("user_id", "source_lsn", "event_type")
 
 
+def _planted_versions(spark, sf):
+    """Two versions of each customer, two thirds of them with a fault: one of eight kinds by the key's remainder by 12."""
+    day = lambda n: F.timestamp_seconds(F.lit(1_600_000_000) + F.lit(n) * 86_400)
+    kind = F.col("c_custkey") % 12
+    far = F.lit("9999-12-31 00:00:00").cast("timestamp")
+    keys = _t(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), kind.alias("kind"))
+    start = {1: F.when(F.col("kind") == 2, day(20)).otherwise(day(0)), 2: F.when(F.col("kind") == 3, day(12)).when(F.col("kind") == 4, day(8)).when(F.col("kind") == 5, day(8)).when(F.col("kind") == 8, day(15)).otherwise(day(10))}
+    end = {1: F.when(F.col("kind") == 2, day(5)).otherwise(day(10)), 2: F.when(F.col("kind") == 7, day(30)).otherwise(far)}
+    current = {1: F.col("kind").isin(1, 6), 2: ~F.col("kind").isin(6, 7, 9)}
+    gone = {1: F.col("kind").isin(5, 8), 2: F.col("kind") == 9}
+    version = lambda n: keys.select("user_id", F.lit(n).cast("long").alias("source_lsn"), start[n].alias("valid_from"), end[n].alias("valid_to"), current[n].alias("is_current"), gone[n].alias("is_deleted"))
+    return version(1).unionByName(version(2))
+
+
 def scd2_violations(spark, sf):
-    return scd2.violations(_versions(spark, sf), "user_id").groupBy("violation").agg(F.count("*").alias("n"))
+    """What the checker finds among sound versions and planted faults; the engine's own versions add none."""
+    own = scd2.violations(_versions(spark, sf), "user_id").select("user_id", "source_lsn", "violation")
+    return own.unionByName(scd2.violations(_planted_versions(spark, sf), "user_id").select("user_id", "source_lsn", "violation"))
 
 
 def scd2_summary(spark, sf):
@@ -184,7 +224,17 @@ def _sales(spark, sf):
 
 
 def fct_sales(spark, sf):
-    return _sales(spark, sf)
+    """The mart's fact over versions with windows: customers stand for stores, parts for products."""
+    lines = _lines(spark, sf).select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), F.lit(2).alias("quantity"), F.col("extended").alias("unit_price"), (F.col("discount") * 100).cast("decimal(5,2)").alias("discount_pct"), F.lit(None).cast("timestamp").alias("updated_at"), (F.col("l_linenumber") == 7).alias("is_deleted"))
+    o = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("store_id"), (F.col("o_custkey") % 10).alias("rep_id"), F.col("o_orderdate").cast("timestamp").alias("order_ts"), F.col("o_orderstatus").alias("status"), (F.col("o_orderkey") % 5 == 0).alias("is_deleted"))
+    cutoff = F.lit("1995-01-01 00:00:00").cast("timestamp")
+    start, end = F.lit("1993-01-01 00:00:00").cast("timestamp"), F.lit("9999-12-31 00:00:00").cast("timestamp")
+    c = _t(spark, sf, "customer").select(F.col("c_custkey").alias("store_id"), F.col("c_nationkey").alias("region_id"))
+    store = lambda n, tier, a, b: c.select("store_id", "region_id", (F.col("store_id") * 2 + n).alias("store_sk"), F.lit(tier).alias("tier"), a.alias("valid_from"), b.alias("valid_to"))
+    stores = store(0, "bronze", start, cutoff).unionByName(store(1, "silver", cutoff, end))
+    p = _part_versions(spark, sf)
+    products = p.select(F.col("p_partkey").alias("product_id"), (F.col("p_partkey") * 2 + F.col("source_lsn")).alias("product_sk"), F.col("p_brand").alias("brand"), F.concat(F.lit("kind "), F.col("source_lsn")).alias("category"), "valid_from", "valid_to")
+    return gold.fct_sales(lines, o, stores, products)
 
 
 def daily_sales_region_brand(spark, sf):
@@ -199,8 +249,19 @@ def price_history(spark, sf):
     return gold.value_history(_part_versions(spark, sf), "p_partkey", "price")
 
 
+def tier_movements(spark, sf):
+    """Customers whose kind changed between two versions, by the move."""
+    c = _t(spark, sf, "customer").select("c_custkey", F.element_at(F.array(*map(F.lit, rules.TIERS)), (F.col("c_custkey") % 3 + 1).cast("int")).alias("tier"))
+    at = lambda y: F.lit(f"{y}-01-01 00:00:00").cast("timestamp")
+    old = c.select("c_custkey", "tier", at(2020).alias("valid_from"), at(2021).alias("valid_to"), F.lit(1).alias("source_lsn"))
+    new = c.select("c_custkey", rules.tier_step(F.col("tier"), F.col("c_custkey") % 2 == 0).alias("tier"), at(2021).alias("valid_from"), at(9999).alias("valid_to"), F.lit(2).alias("source_lsn"))
+    moved = gold.value_history(old.unionByName(new), "c_custkey", "tier").filter("previous_tier <> tier")
+    return moved.groupBy("previous_tier", "tier").agg(F.count("*").alias("n"))
+
+
 def order_value(spark, sf):
-    return _lines(spark, sf).groupBy("l_orderkey").agg(F.sum(F.round(F.col("extended") * (1 - F.col("discount")), 2)).cast("decimal(18,2)").alias("order_value"))
+    lines = _lines(spark, sf).withColumns({"pieces": F.lit(1), "discount_pct": (F.col("discount") * 100).cast("decimal(5,2)")})
+    return lines.groupBy("l_orderkey").agg(F.sum(F.round(gold.line_value("pieces", "extended", "discount_pct"), 2)).cast("decimal(18,2)").alias("order_value"))
 
 
 def reconcile_missing_extra_differs(spark, sf):
@@ -281,9 +342,9 @@ def _shown(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _shown(f)
     for f in (
-        cdc_parse, cdc_quarantine_reasons, bronze_counts_by_op, bronze_duplicate_offsets, bronze_batch_counts, bronze_health, latest_per_key, latest_live_only,
+        cdc_parse, typed_values, cdc_quarantine_reasons, bronze_counts_by_op, bronze_duplicate_offsets, bronze_batch_counts, bronze_health, latest_per_key, latest_live_only,
         soft_deleted_keys, merge_two_batches, scd2_history, scd2_incremental_two_batches, scd2_noops, scd2_violations, scd2_summary, pit_join_sales, fct_sales,
-        daily_sales_region_brand, dim_date, price_history, order_value, reconcile_missing_extra_differs, semi_join_batch_keys, topn_oldest_open, distinct_keys,
+        daily_sales_region_brand, dim_date, price_history, tier_movements, order_value, reconcile_missing_extra_differs, semi_join_batch_keys, topn_oldest_open, distinct_keys,
         union_chain, key_sets, popularity_smoothed, several_per_region, order_state_rules, price_rules,
     )
 }
@@ -309,11 +370,13 @@ def _latest(log: str) -> str:
   FROM {log} GROUP BY user_id"""
 
 
-_HISTORY = f"""{_LOG}, chained AS (
-  SELECT *, sha256(event_type || chr(1) || hundreds) AS row_hash,
-    lag(is_deleted) OVER w AS gone, lag(CASE WHEN NOT is_deleted THEN event_type || chr(1) || hundreds END) OVER w AS before, row_number() OVER w = 1 AS first
-  FROM log WINDOW w AS (PARTITION BY user_id ORDER BY source_lsn)),
-bounds AS (SELECT * FROM chained WHERE (NOT is_deleted AND (before IS NULL OR before <> event_type || chr(1) || hundreds)) OR (is_deleted AND (first OR NOT gone))),
+_HISTORY = f"""{_LOG}, tracked AS (
+  SELECT * REPLACE (CASE WHEN source_lsn % 11 <> 0 THEN hundreds END AS hundreds), event_type || chr(1) || CASE WHEN source_lsn % 11 <> 0 THEN hundreds::VARCHAR ELSE '␀' END AS tracked_text FROM log),
+chained AS (
+  SELECT *, sha256(tracked_text) AS row_hash,
+    lag(is_deleted) OVER w AS gone, lag(CASE WHEN NOT is_deleted THEN tracked_text END) OVER w AS before, row_number() OVER w = 1 AS first
+  FROM tracked WINDOW w AS (PARTITION BY user_id ORDER BY source_lsn)),
+bounds AS (SELECT * FROM chained WHERE (NOT is_deleted AND (before IS NULL OR before <> tracked_text)) OR (is_deleted AND (first OR NOT gone))),
 spans AS (SELECT *, lead(epoch_ms(source_ts_ms)) OVER w AS next, lead(is_deleted) OVER w AS next_gone FROM bounds WINDOW w AS (PARTITION BY user_id ORDER BY source_lsn)),
 versions AS (
   SELECT user_id, event_type, hundreds, row_hash, CASE WHEN first AND op = 'r' THEN TIMESTAMP '1900-01-01' ELSE epoch_ms(source_ts_ms) END AS valid_from,
@@ -353,13 +416,35 @@ SELECT coalesce(a.user_id, b.user_id) AS user_id,
 FROM a FULL JOIN b ON a.user_id = b.user_id""",
     "scd2_history": f"WITH {_HISTORY} SELECT * FROM versions",
     "scd2_incremental_two_batches": f"WITH {_HISTORY} SELECT * FROM versions",
-    "scd2_noops": f"WITH {_HISTORY} SELECT user_id, source_lsn, event_type FROM log WHERE NOT is_deleted AND (user_id, source_lsn) NOT IN (SELECT user_id, source_lsn FROM versions)",
-    "scd2_violations": f"WITH {_HISTORY} SELECT '' AS violation, count(*) AS n FROM versions WHERE valid_from > valid_to GROUP BY 1",
+    "scd2_noops": f"WITH {_HISTORY} SELECT user_id, source_lsn, event_type FROM tracked WHERE NOT is_deleted AND (user_id, source_lsn) NOT IN (SELECT user_id, source_lsn FROM versions)",
+    "scd2_violations": """WITH k AS (SELECT c_custkey AS user_id, c_custkey % 12 AS kind, TIMESTAMP '2020-09-13 12:26:40' AS t FROM customer),
+v AS (
+  SELECT user_id, 1::BIGINT AS source_lsn, CASE WHEN kind = 2 THEN t + INTERVAL 20 DAY ELSE t END AS valid_from, CASE WHEN kind = 2 THEN t + INTERVAL 5 DAY ELSE t + INTERVAL 10 DAY END AS valid_to,
+    kind IN (1, 6) AS is_current, kind IN (5, 8) AS is_deleted FROM k
+  UNION ALL
+  SELECT user_id, 2, CASE kind WHEN 3 THEN t + INTERVAL 12 DAY WHEN 4 THEN t + INTERVAL 8 DAY WHEN 5 THEN t + INTERVAL 8 DAY WHEN 8 THEN t + INTERVAL 15 DAY ELSE t + INTERVAL 10 DAY END,
+    CASE WHEN kind = 7 THEN t + INTERVAL 30 DAY ELSE TIMESTAMP '9999-12-31' END, kind NOT IN (6, 7, 9), kind = 9 FROM k),
+w AS (SELECT *, lead(valid_from) OVER o AS next, count(*) FILTER (is_current) OVER (PARTITION BY user_id) AS currents FROM v WINDOW o AS (PARTITION BY user_id ORDER BY valid_from, source_lsn)),
+f AS (SELECT user_id, source_lsn, CASE WHEN currents > 1 THEN 'several current versions' WHEN valid_from > valid_to THEN 'ends before it begins'
+    WHEN next IS NOT NULL AND ((NOT is_deleted AND valid_to <> next) OR (is_deleted AND valid_to > next)) THEN 'gap or overlap'
+    WHEN next IS NOT NULL AND is_current THEN 'current with a successor'
+    WHEN next IS NULL AND NOT (is_current AND valid_to = TIMESTAMP '9999-12-31') AND NOT (NOT is_current AND is_deleted) THEN 'last neither open nor deleted' END AS violation FROM w)
+SELECT * FROM f WHERE violation IS NOT NULL""",
     "scd2_summary": f"""WITH {_HISTORY}, k AS (SELECT user_id, count(*) AS n, count(*) FILTER (is_current) AS c, count(*) FILTER (is_deleted) AS d FROM versions GROUP BY 1)
 SELECT count(*) AS keys, sum(n)::BIGINT AS versions, sum(c)::BIGINT AS current, sum(d)::BIGINT AS deleted, max(n) AS most_versions FROM k""",
     "pit_join_sales": f"""WITH {_LINES}, {_PARTS} SELECT l_partkey, source_lsn AS version, price AS price_then, count(*) AS lines, sum(quantity) AS quantity
 FROM lines LEFT JOIN parts ON l_partkey = p_partkey AND order_ts >= valid_from AND order_ts < valid_to GROUP BY ALL""",
-    "fct_sales": f"WITH {_SALES} SELECT * FROM sales",
+    "fct_sales": """WITH l AS (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber <> 7 AND o_orderkey % 5 <> 0),
+s AS (SELECT c_custkey, c_nationkey, c_custkey * 2 AS store_sk, 'bronze' AS tier, TIMESTAMP '1993-01-01' AS a, TIMESTAMP '1995-01-01' AS b FROM customer
+  UNION ALL SELECT c_custkey, c_nationkey, c_custkey * 2 + 1, 'silver', TIMESTAMP '1995-01-01', TIMESTAMP '9999-12-31' FROM customer)
+SELECT l_orderkey * 10 + l_linenumber AS order_item_id, l_orderkey AS order_id, o_orderdate::DATE AS date, store_sk, p_partkey * 2 + CASE WHEN o_orderdate < TIMESTAMP '1995-01-01' THEN 1 ELSE 2 END AS product_sk,
+  o_custkey % 10 AS rep_id, c_nationkey AS region_id, tier, p_brand AS brand, 'kind ' || CASE WHEN o_orderdate < TIMESTAMP '1995-01-01' THEN 1 ELSE 2 END AS category, o_orderstatus AS status, 2 AS quantity,
+  round(2 * l_extendedprice::DECIMAL(12,2) * (1 - l_discount::DECIMAL(5,2)), 2)::DECIMAL(14,2) AS amount
+FROM l LEFT JOIN s ON o_custkey = c_custkey AND o_orderdate >= a AND o_orderdate < b LEFT JOIN part ON l_partkey = p_partkey""",
+    "tier_movements": """WITH c AS (SELECT c_custkey, c_custkey % 3 AS tier, c_custkey % 2 = 0 AS up FROM customer)
+SELECT CASE tier WHEN 0 THEN 'bronze' WHEN 1 THEN 'silver' ELSE 'gold' END AS previous_tier, CASE WHEN tier <> 1 THEN 'silver' WHEN up THEN 'gold' ELSE 'bronze' END AS tier, count(*) AS n FROM c GROUP BY ALL""",
+    "typed_values": """SELECT l_orderkey * 10 + l_linenumber AS line, CASE WHEN l_linenumber <> 1 THEN l_partkey::INTEGER END AS part, CASE WHEN l_linenumber <> 2 THEN l_extendedprice::DECIMAL(12,2) END AS price,
+  CASE WHEN l_linenumber <> 3 THEN l_shipdate::DATE + INTERVAL 36000250 MILLISECOND END AS seen_at, l_linenumber > 2 AND l_linenumber <> 4 AS is_open, CASE WHEN l_linenumber <> 5 THEN 'ß' END AS note FROM lineitem""",
     "daily_sales_region_brand": f"WITH {_SALES} SELECT date, r_name AS region_id, p_brand AS brand, count(*) AS lines, sum(quantity) AS quantity, sum(amount) AS amount FROM sales GROUP BY ALL",
     "dim_date": """SELECT d::DATE AS date, year(d)::INTEGER AS year, quarter(d)::INTEGER AS quarter, month(d)::INTEGER AS month, day(d)::INTEGER AS day, isodow(d)::INTEGER AS iso_weekday, isodow(d) >= 6 AS is_weekend
 FROM (SELECT unnest(generate_series(min(o_orderdate)::DATE::TIMESTAMP, max(o_orderdate)::DATE::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM orders)""",
@@ -401,7 +486,9 @@ for _name, _columns, _kind in (
     ("price_history", "valid_from valid_to", "timestamp"),
     ("price_history", "price previous_price", "decimal"),
     ("pit_join_sales", "price_then quantity", "decimal"),
-    ("fct_sales", "quantity amount", "decimal"),
+    ("fct_sales", "amount", "decimal"),
+    ("typed_values", "price", "decimal"),
+    ("typed_values", "seen_at", "timestamp"),
     ("daily_sales_region_brand", "quantity amount", "decimal"),
     ("order_value", "order_value", "decimal"),
     ("fct_sales", "date", "date"),
