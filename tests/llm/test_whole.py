@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.test_llm import _classes, docs
-from tidemark.llm import fingerprint, packing, pii, topk, toxicity
+from tidemark.llm import fingerprint, neardup, packing, pii, topk, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -172,3 +173,79 @@ def test_fingerprints_of_many_copies_of_one_row(spark):
         after = order[(k + 1) % len(order)][1]
         want.append((i, hashlib.sha256(fingerprint.edited(t, after).encode()).hexdigest(), fingerprint.likeness(fingerprint.fingerprint(t), fingerprint.fingerprint(after))))
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_toxicity_ratios_and_fit_equal_a_plain_computation(monkeypatch):
+    rng = random.Random(8)
+    texts = ["".join(rng.choices("abcd ", weights=[4, 3, 2 + 2 * (i % 2), 1, 2], k=60)) for i in range(60)]
+    toxic = np.array([i % 2 == 1 for i in range(60)])
+    monkeypatch.setattr(toxicity, "KEPT", 40)
+    model = toxicity.train(texts, toxic, 0.5)
+    found = [set(toxicity.Buckets().of(t).tolist()) for t in texts]
+    rows = collections.Counter(b for f in found for b in f)
+    bad = collections.Counter(b for f, y in zip(found, toxic, strict=True) if y for b in f)
+    p = {b: (bad[b] + 1) / 32 for b in rows}
+    q = {b: (rows[b] - bad[b] + 1) / 32 for b in rows}
+    share = {b: rows[b] / 60 for b in rows}
+    chi = {b: (p[b] - q[b]) ** 2 / (share[b] * (1 - share[b]) * (2 / 30) + 1e-9) for b in rows if rows[b] >= toxicity.LEAST_ROWS}
+    kept = sorted((b for b in chi if chi[b] > 0), key=lambda b: (-chi[b], b))[:40]
+    assert set(np.flatnonzero(model.weights).tolist()) <= set(kept)
+    ratio = np.array([np.log(p[b] / q[b]) for b in kept])
+    x = np.array([[(b in f) * r * 2 * toxicity.USUAL_BUCKETS / (len(f) + toxicity.USUAL_BUCKETS) for b, r in zip(kept, ratio, strict=True)] for f in found])
+    w, b = np.zeros(len(kept)), 0.0
+    for _ in range(200):  # plain Newton steps on the penalised likelihood
+        s = 1 / (1 + np.exp(-(x @ w + b)))
+        wide = np.column_stack([x, np.ones(60)])
+        curve = (wide * (s * (1 - s))[:, None]).T @ wide + np.diag([toxicity.DECAY] * len(kept) + [0.0])
+        step = np.linalg.solve(curve, wide.T @ (s - toxic) + np.append(toxicity.DECAY * w, 0))
+        w, b = w - step[:-1], b - step[-1]
+    assert np.allclose(model.weights[kept], w * ratio, atol=1e-3) and abs(model.bias - b) < 1e-3
+
+
+def test_em_finds_planted_reliabilities_and_adds_spans(spark):
+    rng = np.random.default_rng(4)
+    right = [0.95, 0.85, 0.7, 0.9, 0.6]
+    truth = rng.random(40_000) < 0.4
+    votes = np.where(rng.random((40_000, 5)) < right, truth[:, None], ~truth[:, None])
+    seen = collections.Counter("3" + "".join("+" if v else "-" for v in row) + "000" for row in votes)
+    good = collections.Counter("3" + "".join("+" if v else "-" for v in row) + "000" for row in votes[truth])
+    names = sorted(seen)
+    p, rates = pii.expectation_maximisation(names, np.array([seen[n] for n in names], float))
+    for j, r in enumerate(right):
+        assert abs(rates[1, j, 0] - r) < 0.03 and abs(rates[0, j, 1] - r) < 0.03
+    wrong = sum(abs(x * seen[n] - good[n]) for n, x in zip(names, p, strict=True)) / 40_000
+    assert wrong < 0.03
+    # Written out addresses and local numbers are added where base shapes have taught what they look like.
+    texts = [f"please write to joe{i}@mail.com or call +1 (555) 123-45{i % 90 + 10} today" for i in range(300)]
+    more = [f"please write to ann{i} (at) mail (dot) com or call 555 123 45{i % 90 + 10} today" for i in range(40)]
+    noise = [f"version {i}.2.3000.4 of order 12345678{i:05d} token" for i in range(60)]
+    rows = list(enumerate([*texts, *more, *noise]))
+    found = {r["doc_id"]: r["spans"] for r in pii.find(docs(spark, rows), pii.fit(docs(spark, rows))).collect()}
+    added = [i for i, t in rows if t in more and "email:16:" in found[i]]
+    assert len(added) == 40 and not any(found[i] for i, t in rows if t in noise)
+
+
+def test_candidates_of_very_many_spans_take_linear_time():
+    text = " ".join(f"300.1.2.{i}; 555 123 4{i % 1000:03d}," for i in range(30_000))
+    start = time.process_time()
+    assert len(pii.candidates(text)) >= 30_000
+    assert time.process_time() - start < 30
+
+
+def test_near_duplicates_of_a_table_equal_all_pairs(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    sets = [neardup.elements(*neardup.shingles(t or "")) for _, t in rows]
+    size, common = np.array([len(x) for x in sets], float), neardup._overlaps(sets)
+    near = np.argwhere(np.triu(common >= 0.8 * (size[:, None] + size[None, :] - common), 1) & (size[:, None] > 0))
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs(spark, rows)).collect()}
+    assert len(near) > 20 and sum(got[rows[a][0]] == got[rows[b][0]] for a, b in near) == len(near)
+    assert got == _classes(rows)
+
+
+def test_near_duplicates_of_repeated_and_missing_ids(spark):
+    long = lambda word: " ".join(f"{word}{i}" for i in range(60))
+    rows = [(1, long("a")), (5, long("a") + " x"), (5, long("b")), (5, long("c")), (5, long("c")), (9, long("b")), (None, long("c") + " y"), (None, long("d")), (None, long("d") + " z"), (None, " "), (7, ""), (7, "")]
+    got = sorted(((r["doc_id"], r["class_id"]) for r in neardup.classes(docs(spark, rows)).collect()), key=str)
+    assert got == sorted([(1, 1), (5, 1), (5, 5), (5, 5), (5, 5), (9, 5), (None, 5), (None, None), (None, None), (None, None), (7, 7), (7, 7)], key=str)
+    kept = sorted(((r["doc_id"], (r["text"] or "")[:2]) for r in neardup.keep_one(docs(spark, rows)).collect()), key=str)
+    assert kept == sorted([(1, "a0"), (5, "b0"), (5, "c0"), (None, "d0"), (None, " "), (7, ""), (7, "")], key=str)

@@ -9,7 +9,7 @@ expectation-maximisation, and trains a logistic span classifier on those probabi
 
 Only pattern counts reach the driver; their number is bounded by kinds x votes x feature buckets.
 
-Defined results: a null text is empty; empty texts have no spans; repeated rows stay; an empty table
+Defined results: a kind of which no document has a base match gets no added spans; a null text is empty; empty texts have no spans; repeated rows stay; an empty table
 fits a model that adds nothing; extra columns are ignored by ``find`` and kept by ``redact``.
 """
 
@@ -222,8 +222,8 @@ def fit(docs: DataFrame, least: float = 0.5) -> PiiModel:
     reliability: dict[str, list[float]] = {}
     for k, kind in enumerate(KINDS):
         mine = [(p, n) for p, n in rows if p[0] == str(k)]
-        if not mine:
-            continue
+        if not any(p[1] == "+" for p, _ in mine):
+            continue  # without a base match there is nothing to tell candidates by: none is added
         names, counts = [p for p, _ in mine], np.array([n for _, n in mine], float)
         soft, rates = expectation_maximisation(names, counts)
         reliability[kind] = [float(rates[1, j, 0] + rates[0, j, 1]) / 2 for j in range(5)]
