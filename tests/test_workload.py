@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tests.test_engine import LOG, STORES, fold_versions, store
+from tests.test_engine import LOG, STORES, fold_versions, tier
 from tidemark.operators import bronze, facts, scd2
 from tidemark.sources.workload import Workload
 from tidemark.specs import DIMENSIONS, FACTS
@@ -57,7 +57,7 @@ def test_order_scenarios(spark):
 
 def test_random_splits_fold_to_the_whole_log(spark):
     rng = random.Random(5)
-    events = [store(100 + 10 * i, rng.choice(["bronze", "silver", "gold"]), op="r" if i == 0 else "u", deleted=i > 0 and rng.random() < 0.25, store_id=1) for i in range(8)]
+    events = [tier(100 + 10 * i, rng.choice(["bronze", "silver", "gold"]), op="r" if i == 0 else "d" if rng.random() < 0.25 else "u") for i in range(8)]
     whole = scd2.scd2_history(facts.parse(spark.createDataFrame(events, LOG), STORES), STORES)
     whole = sorted(map(tuple, whole.select("source_lsn", "tier", F.unix_millis("valid_from"), F.unix_millis("valid_to"), "is_current", "is_deleted").collect()))
     cuts = sorted(rng.sample(range(1, 8), 2))
