@@ -144,9 +144,9 @@ class Live:
         run: Callable[[], list[Change]] = getattr(self, event)
         return run()
 
-    def log(self, event: str, lsn: int) -> DataFrame:
-        """The event's change records, with LSNs from ``lsn`` on in the order of its tables."""
-        at = self.workload._now() + F.expr(f"interval {self.batch} seconds")
+    def log(self, event: str, lsn: int, at: Column | None = None) -> DataFrame:
+        """The event's change records at a time (default: a second a batch), with LSNs from ``lsn`` on in the order of its tables."""
+        at = self.workload._now() + F.expr(f"interval {self.batch} seconds") if at is None else at
         return reduce(DataFrame.unionByName, [records(rows, table, F.lit(op), F.lit(lsn + i), at) for i, (table, rows, op) in enumerate(self.changes(event))])
 
 

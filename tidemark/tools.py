@@ -1,11 +1,13 @@
-"""Command line: python -m tidemark.tools bronze_check|scd2_check|reconcile|reset_tables|spark_sql|smoke_test|seed|scenario ...
+"""Command line: python -m tidemark.tools bronze_check|scd2_check|reconcile|reset_tables|spark_sql|smoke_test|seed|scenario|run ...
 
 Exit 0 when a check passes, 1 when it fails, 2 for wrong usage.
 """
 
 from __future__ import annotations
 
+import signal
 import sys
+import threading
 import time
 import uuid
 
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import bronze, facts, reconcile, scd2
 from tidemark.session import build_session, fresh_path
 from tidemark.sources.keyed_table import KeyedTable
+from tidemark.sources.runner import Runner
 from tidemark.sources.streams import jdbc_table
 from tidemark.sources.workload import Workload
 from tidemark.specs import DIMENSIONS, FACTS
@@ -139,7 +142,31 @@ def scenario(spark: SparkSession, out: str, name: str) -> int:
     return 0
 
 
-COMMANDS = {"seed": seed, "scenario": scenario, "bronze_check": bronze_check, "scd2_check": scd2_check, "reconcile": reconcile_table, "reset_tables": reset_tables, "spark_sql": spark_sql, "smoke_test": smoke_test}
+def run(spark: SparkSession, out: str, *options: str) -> int:
+    """Live events appended to a folder of records: ``--rate`` a second, for ``--duration`` seconds, drawn from ``--seed``.
+
+    An interrupt or a termination ends the run after the event at hand.
+    """
+    given = {"rate": 0.5, "duration": 60.0, "seed": 42.0}
+    for o in options:
+        name, _, value = o.removeprefix("--").partition("=")
+        if not o.startswith("--") or name not in given or not value:
+            print("usage: run <records> [--rate=0.5] [--duration=60] [--seed=42]")
+            return 2
+        given[name] = float(value)
+    stop = threading.Event()
+    if threading.current_thread() is threading.main_thread():
+        for s in (signal.SIGINT, signal.SIGTERM):
+            signal.signal(s, lambda *_: stop.set())
+    runner = Runner(spark, out, Workload(spark, seed=int(given["seed"])))
+    try:
+        runner.run(given["rate"], given["duration"], stop)
+    finally:
+        runner.close()
+    return 0
+
+
+COMMANDS = {"seed": seed, "scenario": scenario, "run": run, "bronze_check": bronze_check, "scd2_check": scd2_check, "reconcile": reconcile_table, "reset_tables": reset_tables, "spark_sql": spark_sql, "smoke_test": smoke_test}
 
 
 def main(args: list[str]) -> int:
