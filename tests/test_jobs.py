@@ -46,6 +46,13 @@ def test_an_upsert_rewrites_the_buckets_of_its_keys(spark, tmp_path):
     assert len(list((tmp_path / "t" / "v=0").glob("bucket=*"))) == 8 and len(list((tmp_path / "t" / "v=1").glob("bucket=*"))) == 1
     assert table.read().count() == 100 and [tuple(r) for r in table.read().filter("v = 'b'").collect()] == [(5, "b")]
     assert table.read(0).filter("v = 'b'").isEmpty()
+    beside = {r["k"] for r in table.read_buckets_of(rows((5, ""))).collect()}
+    assert 5 in beside and len(beside) < 50 and {tuple(r) for r in table.read_buckets_of(rows((5, ""), (6, ""))).collect()} <= {tuple(r) for r in table.read().collect()}
+    # A bucket is one file, however many tasks its rows come from.
+    many = KeyedTable(spark, f"file://{tmp_path}/m", "k INT, v STRING", ("k",), buckets=3)
+    assert many.read_buckets_of(rows((1, ""))).isEmpty()
+    many.write(rows(*[(i, "a") for i in range(100)]).repartition(20))
+    assert [len(list(b.glob("*.parquet"))) for b in (tmp_path / "m" / "v=0").glob("bucket=*")] == [1, 1, 1]
     # Another query's batches count for themselves; the replay of the first query's still does nothing.
     assert table.upsert(rows((7, "d")), newest, 0, "other") and not table.upsert(rows((8, "e")), newest, 0, "q")
     table.vacuum(1)

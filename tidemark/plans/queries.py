@@ -215,12 +215,15 @@ def pit_join_sales(spark, sf):
 
 
 def _sales(spark, sf):
+    """Lines with date, region and brand.  Regions join the orders first, so that lines are dealt once less."""
     c, n, r = (_t(spark, sf, x) for x in ("customer", "nation", "region"))
     places = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", "r_name")
+    orders = _t(spark, sf, "orders").join(places, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.to_date("o_orderdate").alias("date"), "r_name")
     parts = _t(spark, sf, "part").select(F.col("p_partkey").alias("_part"), "p_brand")
-    sold = _lines(spark, sf).join(parts, F.col("l_partkey") == F.col("_part")).join(places, F.col("o_custkey") == F.col("c_custkey"))
-    amount = F.round(F.col("extended") * (1 - F.col("discount")), 2).cast("decimal(14,2)")
-    return sold.select("l_orderkey", "l_partkey", F.to_date("order_ts").alias("date"), "r_name", "p_brand", "quantity", amount.alias("amount"))
+    amount = F.round(F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(5,2)")), 2).cast("decimal(14,2)")
+    lines = _t(spark, sf, "lineitem").select("l_orderkey", "l_partkey", F.col("l_quantity").cast("decimal(12,2)").alias("quantity"), amount.alias("amount"))
+    sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("_part"))
+    return sold.select("l_orderkey", "l_partkey", "date", "r_name", "p_brand", "quantity", "amount")
 
 
 def fct_sales(spark, sf):

@@ -73,10 +73,21 @@ class KeyedTable:
         """Rows of a version, by default the last; an empty table where there is none yet."""
         return self._rows(self._manifest(version)["buckets"]) if version is not None or self.versions() else self._rows({})
 
+    def _touched(self, batch: DataFrame, of: int) -> set[str]:
+        """Buckets of the batch's keys: at most ``of`` numbers reach the driver."""
+        return {str(r["b"]) for r in batch.select(self._bucket(of).alias("b")).distinct().collect()}
+
+    def read_buckets_of(self, batch: DataFrame) -> DataFrame:
+        """Rows of the last version in the buckets of the batch's keys, all that an upsert of the batch may meet."""
+        last = self._manifest()
+        touched = self._touched(batch, last["of"]) if last["buckets"] else set()
+        return self._rows({b: v for b, v in last["buckets"].items() if b in touched})
+
     def _write(self, rows: DataFrame, before: dict, kept: dict[str, int], batch_id: int | None, operation: str, writer: str) -> int:
         version = 0 if before["version"] is None else before["version"] + 1
         names = [c.split(" ")[0] for c in self.schema.split(", ")]
-        keyed = rows.select(*names, self._bucket(before["of"]).alias("bucket"))
+        # Dealt by bucket, so that a bucket is a few files of a good size, not one from every task; a large one is split.
+        keyed = rows.select(*names, self._bucket(before["of"]).alias("bucket")).hint("rebalance", "bucket")
         keyed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{self.path}/v={version}")
         made = {n.split("=")[1]: version for n in self._names(f"v={version}") if n.startswith("bucket=")}
         writers = before["writers"] | ({writer: batch_id} if batch_id is not None else {})
@@ -103,8 +114,7 @@ class KeyedTable:
         last = before["writers"].get(writer)
         if batch_id is not None and last is not None and batch_id <= last:
             return False
-        # At most ``buckets`` numbers reach the driver.
-        touched = {str(r["b"]) for r in batch.select(self._bucket(before["of"]).alias("b")).distinct().collect()}
+        touched = self._touched(batch, before["of"])
         held = {b: v for b, v in before["buckets"].items() if b in touched}
         kept = {b: v for b, v in before["buckets"].items() if b not in touched}
         self._write(merge(self._rows(held), batch), before, kept, batch_id, "merge", writer)

@@ -2,7 +2,8 @@
 
 Settings come from the environment: TIDEMARK_ROOT (folder of all tables), TIDEMARK_BROKERS (broker
 addresses) or TIDEMARK_RECORDS (folder of record files), TIDEMARK_TRIGGER_SECONDS, TIDEMARK_WAIT_SECONDS
-(how long a job waits for the log of its tables).  ``--once`` takes what is there now and ends.
+(how long a job waits for the log of its tables), TIDEMARK_BUCKETS (of a keyed table, when it is first
+written: about a bucket for each gigabyte it will hold, as a batch rewrites whole buckets).  ``--once`` takes what is there now and ends.
 """
 
 from __future__ import annotations
@@ -26,11 +27,12 @@ class Settings:
     records: str = ""
     trigger_seconds: int | None = 30
     wait_seconds: float = 3600
+    buckets: int = jobs.BUCKETS
 
     @classmethod
     def from_environment(cls, once: bool = False) -> Settings:
         get = os.environ.get
-        return cls(get("TIDEMARK_ROOT", ""), get("TIDEMARK_BROKERS", ""), get("TIDEMARK_RECORDS", ""), None if once else int(get("TIDEMARK_TRIGGER_SECONDS", "30")), float(get("TIDEMARK_WAIT_SECONDS", "3600")))
+        return cls(get("TIDEMARK_ROOT", ""), get("TIDEMARK_BROKERS", ""), get("TIDEMARK_RECORDS", ""), None if once else int(get("TIDEMARK_TRIGGER_SECONDS", "30")), float(get("TIDEMARK_WAIT_SECONDS", "3600")), int(get("TIDEMARK_BUCKETS", str(jobs.BUCKETS))))
 
     @property
     def log(self) -> str:
@@ -54,13 +56,13 @@ def _logged(spark: SparkSession, s: Settings, table: str) -> bool:
 def upsert_facts(spark: SparkSession, s: Settings) -> list:
     """A query for each current-state table whose log there is."""
     found = [spec for spec in FACTS.values() if _logged(spark, s, spec.name)]
-    return [jobs.start(streams.bronze_stream(spark, f"{s.log}/{spec.name}"), jobs.upsert_facts(spec, jobs.fact_table(spark, s.tables, spec)), jobs.checkpoint_of(s.tables, spec.name), spec.name, s.trigger_seconds) for spec in found]
+    return [jobs.start(streams.bronze_stream(spark, f"{s.log}/{spec.name}"), jobs.upsert_facts(spec, jobs.fact_table(spark, s.tables, spec, s.buckets)), jobs.checkpoint_of(s.tables, spec.name), spec.name, s.trigger_seconds) for spec in found]
 
 
 def scd2_dimensions(spark: SparkSession, s: Settings) -> list:
     """A query for each versioned table whose log there is."""
     found = [spec for spec in DIMENSIONS.values() if _logged(spark, s, spec.source)]
-    return [jobs.start(streams.bronze_stream(spark, f"{s.log}/{spec.source}"), jobs.version_dimension(spec, *jobs.dimension_tables(spark, s.tables, spec)), jobs.checkpoint_of(s.tables, spec.name), spec.name, s.trigger_seconds) for spec in found]
+    return [jobs.start(streams.bronze_stream(spark, f"{s.log}/{spec.source}"), jobs.version_dimension(spec, *jobs.dimension_tables(spark, s.tables, spec, s.buckets)), jobs.checkpoint_of(s.tables, spec.name), spec.name, s.trigger_seconds) for spec in found]
 
 
 APPS = {"ingest_cdc": ingest_cdc, "upsert_facts": upsert_facts, "scd2_dimensions": scd2_dimensions}

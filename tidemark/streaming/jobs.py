@@ -17,6 +17,9 @@ from tidemark.operators import bronze, facts, scd2
 from tidemark.sources.keyed_table import KeyedTable
 from tidemark.specs import Table, ddl
 
+#: Buckets of a new keyed table unless told otherwise: for tables of some gigabytes.
+BUCKETS = 16
+
 
 def write_bronze(root: str):
     """A batch handler that writes each table's rows and the quarantine beside each other."""
@@ -73,7 +76,7 @@ def version_dimension(spec: Table, table: KeyedTable, seen: KeyedTable):
         events = facts.parse(batch, spec).persist()
         try:
             if not events.isEmpty():
-                marks = seen.read()
+                marks = seen.read_buckets_of(events)
                 table.upsert(events, lambda now, new: scd2.scd2_apply(now, new, spec, marks.join(new.select(spec.key).distinct(), spec.key, "left_semi")), batch_id, writer_of(batch))
                 seen.upsert(events, lambda now, new: scd2.high_water(now, new, spec), batch_id, writer_of(batch))
         finally:
@@ -82,13 +85,14 @@ def version_dimension(spec: Table, table: KeyedTable, seen: KeyedTable):
     return handle
 
 
-def fact_table(spark: SparkSession, root: str, spec: Table) -> KeyedTable:
-    return KeyedTable(spark, f"{root}/{spec.name}", ddl(spec), spec.keys)
+def fact_table(spark: SparkSession, root: str, spec: Table, buckets: int = BUCKETS) -> KeyedTable:
+    return KeyedTable(spark, f"{root}/{spec.name}", ddl(spec), spec.keys, buckets)
 
 
-def dimension_tables(spark: SparkSession, root: str, spec: Table) -> tuple[KeyedTable, KeyedTable]:
+def dimension_tables(spark: SparkSession, root: str, spec: Table, buckets: int = BUCKETS) -> tuple[KeyedTable, KeyedTable]:
     kind = dict(spec.columns)[spec.key]
-    return KeyedTable(spark, f"{root}/{spec.name}", ddl(spec), spec.keys), KeyedTable(spark, f"{root}/{spec.name}_seen", f"{spec.key} {kind}, high_lsn BIGINT", (spec.key,))
+    marks = f"{spec.key} {kind}, high_lsn BIGINT"
+    return KeyedTable(spark, f"{root}/{spec.name}", ddl(spec), spec.keys, buckets), KeyedTable(spark, f"{root}/{spec.name}_seen", marks, (spec.key,), buckets)
 
 
 def checkpoint_of(root: str, table: str) -> str:
